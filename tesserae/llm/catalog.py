@@ -1,9 +1,21 @@
 """The queries of this subpackage, and SQL for those that SQL can express."""
 
+from .licenses import OP4_SQL, op4_licenses
+from .media import op5_media
+from .mixing import OP8_SQL, op8_mixing
 from .pieces import op6_pieces
+from .quality_rules import OP2_SQL, op2_quality_rules
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op4_licenses": op4_licenses,
+    "op5_media": op5_media,
     "op6_pieces": op6_pieces,
+    "op8_mixing": op8_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_quality_rules": OP2_SQL,
+    "op4_licenses": OP4_SQL,
+    "op8_mixing": OP8_SQL,
+}

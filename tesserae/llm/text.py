@@ -76,3 +76,8 @@ def written(df: DataFrame, name: str = "part") -> DataFrame:
 
 def power_of_two(n: float) -> int:
     return 1 << max(0, math.ceil(math.log2(max(1, n))))
+
+
+def lookup(df: DataFrame, table: DataFrame, on: Column, most_rows: int = 100_000) -> DataFrame:
+    """df left-joined with a table of short rows that is already written: broadcast up to `most_rows`, shuffled beyond."""
+    return df.join(F.broadcast(table) if table.limit(most_rows + 1).count() <= most_rows else table, on, "left")
