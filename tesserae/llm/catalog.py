@@ -3,6 +3,7 @@
 from .licenses import OP4_SQL, op4_licenses
 from .media import op5_media
 from .mixing import OP8_SQL, op8_mixing
+from .near_dups import op3_near_dups
 from .pieces import op6_pieces
 from .line_runs import OP10_SQL, op10_line_runs
 from .quality_rules import OP2_SQL, op2_quality_rules
@@ -11,6 +12,7 @@ from .substrings import op1_substrings
 QUERIES = {
     "op1_substrings": op1_substrings,
     "op2_quality_rules": op2_quality_rules,
+    "op3_near_dups": op3_near_dups,
     "op4_licenses": op4_licenses,
     "op5_media": op5_media,
     "op6_pieces": op6_pieces,
