@@ -1,8 +1,60 @@
-"""The corpus pipeline: its stages follow."""
+"""The corpus pipeline: quality, line dedup, near-dedup, mixing, encoding.
 
-STAGES: list = []
+Each stage takes the rows that its predecessor kept and returns a DataFrame; run() writes each as Parquet in the shared
+folder and reads it again for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tesserae.llm import line_runs, mixing, near_dups, pieces, resampling
+from tesserae.llm.text import documents, labels, written
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling rejects go."""
+    return resampling.selected(docs, labels(spark, sf_dir))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go, and documents of which nothing is left by that."""
+    cut = line_runs.deduplicated(docs).filter("n_deleted = 0 or n_deleted < n_lines")
+    n_chars = F.when(F.col("n_deleted") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return cut.select(*[n_chars if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: that of the least id. Five-word shingles, similarity 0.8."""
+    return near_dups.representatives(docs, words=5, percent=80)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    mixed = mixing.mixed(docs).filter("mix_copies > 0")
+    return mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int")))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source and the ids and decoded text of SentencePiece."""
+    return pieces.encoded(docs, pieces.Pieces(pieces.default_model()), keep=["source"])
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing", mix),
+    ("SentencePiece", encode),
+]
+
+#: Sampling noise, signatures and the merge rounds are no SQL; the tests hold run() against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+    return docs

@@ -233,18 +233,39 @@ def links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFram
     return first.union(settled(linked(settled(pairs, "pairs"), sets, percent), "links"))
 
 
-def grouped(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept, one row for each of docs."""
+def components_by_set(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches of docs, and set with component_id."""
     sketches = written(sketched(docs, words), "sketches")
     classes = classes_of(sketches)
-    edges = links(docs, classes, words, percent)
-    placed = joined_components(classes.select("set", "c", "low"), edges)
+    placed = joined_components(classes.select("set", "c", "low"), links(docs, classes, words, percent))
     names = placed.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = placed.join(names, "comp").select("set", "component_id")
+    return sketches, placed.join(names, "comp").select("set", "component_id")
+
+
+def grouped(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept, one row for each of docs."""
+    sketches, named = components_by_set(docs, words, percent)
     out = sketches.select("doc_id", F.col("n").alias("n_shingles"), "set").join(named, "set", "left")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs without those that stand for no group: a row goes if its id is not its component's.
+
+    Of rows that repeat one id, one with each text stays.
+    """
+    out = grouped(docs, words, percent)
+    gone = written(out.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    rows = docs.select(F.struct("*").alias("row"))
+    stay = rows.join(gone, F.col("row.doc_id").cast("long") == F.col("gone_id"), "left_anti").select("row.*")
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("gone_id"))
+    repeated = written(repeated, "repeated")
+    if not repeated.limit(1).count():
+        return stay
+    once = stay.join(repeated, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return once.unionByName(stay.join(repeated, F.col("doc_id") == F.col("gone_id"), "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped(documents(spark, sf_dir), words=3, percent=85)

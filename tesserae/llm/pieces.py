@@ -202,19 +202,21 @@ class Encoder:
         return [begin + b"".join(map(self.known.__getitem__, s)) + end for s in cut]
 
 
-def encoded(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ids (array of int) and decoded, the text that the ids give back. Other columns are left out."""
+def encoded(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Per row: id, the columns named in keep, ids (array of int) and decoded, the text that the ids give back."""
+    keep = [c for c in keep or () if c not in ("ids", "decoded", id_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(pieces)
-        for b in slices(batches, "text"):
-            raw = encoder([t or "" for t in b.column("text").to_pylist()])
+        for b in slices(batches, "_text"):
+            raw = encoder([t or "" for t in b.column("_text").to_pylist()])
             ids = [np.frombuffer(r, "<u4").astype(np.int32) for r in raw]
             decoded = [pieces.decode(i).decode("utf-8", "replace") for i in ids]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
+            made = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in (id_col, *keep)] + made, [id_col, *keep, "ids", "decoded"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (id_col, *keep))
+    return docs.select(id_col, *keep, docs[text_col].cast("string").alias("_text")).mapInArrow(run, f"{fields}, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, pieces: Pieces) -> DataFrame:

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,15 +105,18 @@ def cut_segments(docs: DataFrame, window: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            out: list[list] = [[], [], [], [], [], []]
-            for place, tag, text, segments in zip(*(b.column(c).to_pylist() for c in ("place", "tag", "text", "segments"))):
+            lists = b.column("segments")
+            counts = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten()
+            starts, windows = flat.field("start").to_pylist(), flat.field("windows").to_pylist()
+            out, at = [], 0
+            for text, n in zip(b.column("text").to_pylist(), counts.tolist()):
                 words = (text or "").encode().split()
-                for s in segments:
-                    words_of = b" ".join(words[s["start"] : s["start"] + s["windows"] + window - 1])
-                    for col, v in zip(out, (place, tag, s["start"], s["anchor"], s["hot"], words_of)):
-                        col.append(v)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["place", "tag", "start", "anchor", "hot", "words"])
+                out += [b" ".join(words[x : x + y + window - 1]) for x, y in zip(starts[at : at + n], windows[at : at + n])]
+                at += n
+            row = pa.array(np.repeat(np.arange(len(counts)), counts))
+            columns = [b.column("place").take(row), b.column("tag").take(row), flat.field("start"), flat.field("anchor"), flat.field("hot"), pa.array(out, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "tag", "start", "anchor", "hot", "words"])
 
     return docs.mapInArrow(work, "place long, tag int, start int, anchor long, hot boolean, words binary")
 
@@ -206,10 +210,12 @@ def with_place(docs: DataFrame) -> DataFrame:
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
-    """Written; then the shuffles behind it are given up, so that their files go."""
+    """Written; then the shuffles behind it are given up, so that their files go. The cleaner needs a second collection."""
     out = written(df, name)
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
     return out
 
 
@@ -217,10 +223,13 @@ def intervals(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR, hot: int
     """place, tag, start and end (exclusive) of words that a window covers which an earlier document holds; they may overlap."""
     docs = with_place(docs).select("place", "tag", "text")
     found = find_anchors(docs, window, run)
-    counted = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("place").alias("low"), F.max("place").alias("high"))
-    again = counted.filter("low < high").select("anchor", (F.col("n") > hot).alias("hot"))
-    listed = found.join(again, "anchor").groupBy("place", "tag").agg(F.collect_list(F.struct("start", "windows", "anchor", "hot")).alias("segments"))
-    listed = settled(listed.withColumn("segments", F.array_sort(F.array_distinct("segments"))), "anchors")
+    # the counts use every column, so that they and the join read one exchange and the texts are gone through once
+    found = found.repartition("anchor")
+    used = F.max(F.col("tag").cast("long") + F.col("start") + F.col("windows"))
+    counted = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("place").alias("low"), F.max("place").alias("high"), used.alias("used"))
+    again = counted.filter("low < high and used is not null").select("anchor", (F.col("n") > hot).alias("hot"))
+    listed = found.join(again.hint("shuffle_hash"), "anchor").groupBy("place", "tag").agg(F.collect_list(F.struct("start", "windows", "anchor", "hot")).alias("segments"))
+    listed = settled(listed, "anchors")
     segments = settled(cut_segments(docs.join(listed, ["place", "tag"]), window), "segments")
     words = segments.agg(F.sum(F.octet_length("words")).alias("b")).first()["b"] or 0
     shards = max(1, words // (6 * SHARD_WORDS), docs.sparkSession.sparkContext.defaultParallelism if words > SHARD_WORDS else 1)
