@@ -46,11 +46,15 @@ def correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], flo
 
 
 def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    if not columns:
+        return {}
     row = df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in columns]).first()
     return {c: row[c] for c in columns if row[c] is not None}
 
 
 def null_rates(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    if not columns:
+        return {}
     row = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in columns]).first()
     return {c: row[c] for c in columns}
 

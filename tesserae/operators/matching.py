@@ -196,22 +196,23 @@ def mode_first(df: DataFrame, keys: list[str], value: str, order: str, out: str)
 
 def fused(members: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     """One record a building from its members (node, side, idx, building) and the sides' cleaned rows (by idx, with wkt)."""
-    ma = members.filter("side = 'A'").join(a, "idx").select("building", "idx", *[F.col(c).alias(f"{c}_A") for c in a.columns if c != "idx"])
-    mb = members.filter("side = 'B'").join(b, "idx").select("building", "idx", *[F.col(c).alias(f"{c}_B") for c in b.columns if c != "idx"])
+    members = members.withColumnRenamed("building", "building_id")  # B has a column building, a part of addresses
+    ma = members.filter("side = 'A'").join(a, "idx").select("building_id", "idx", *[F.col(c).alias(f"{c}_A") for c in a.columns if c != "idx"])
+    mb = members.filter("side = 'B'").join(b, "idx").select("building_id", "idx", *[F.col(c).alias(f"{c}_B") for c in b.columns if c != "idx"])
     ids = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.col(c).cast("string").alias("id")))), lambda s: s.getField("id")), ",")
     # members of a building are few: a cluster is bounded by ranks of two on either side and by the places around it
-    ga = ma.groupBy("building").agg(
+    ga = ma.groupBy("building_id").agg(
         F.count("*").alias("n_a"), F.sum("geom_complexity_A").alias("c_a"), F.median("area_geom_ratio_A").alias("area_ratio_a"), ids("id_A").alias("a_source_ids"),
         F.median("floor_mid_A").alias("floor_mid_A_median"), F.max("geom_complexity_A").alias("cx_a"), F.max("geom_part_count_A").alias("pc_a"), F.collect_list("wkt_A").alias("wkts_a"),
     )
-    gb = mb.groupBy("building").agg(
+    gb = mb.groupBy("building_id").agg(
         F.count("*").alias("n_b"), F.sum("geom_complexity_B").alias("c_b"), ids("idx").alias("b_source_ids"), F.median("height_B").alias("height_B_median"), F.median("stairs_B").alias("stairs"),
         F.median("avg_floor_height_clean_B").alias("avg_floor_height_clean"), F.max("geom_complexity_B").alias("cx_b"), F.max("geom_part_count_B").alias("pc_b"), F.collect_list("wkt_B").alias("wkts_b"),
     )
     ga = ga.withColumn("geom_a", united("wkts_a")).drop("wkts_a")
     gb = gb.withColumn("geom_b", united("wkts_b")).drop("wkts_b")
-    parents = members.groupBy("building").agg(F.first("parent_cluster").alias("parent_cluster_id"), F.first("split_from_parent").alias("split_from_parent"))
-    joined = parents.join(ga, "building", "left").join(gb, "building", "left")
+    parents = members.groupBy("building_id").agg(F.first("parent_cluster").alias("parent_cluster_id"), F.first("split_from_parent").alias("split_from_parent"))
+    joined = parents.join(ga, "building_id", "left").join(gb, "building_id", "left")
     joined = joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_a", "n_b", "c_a", "c_b")})
     shared = F.when(F.col("geom_a").isNotNull() & F.col("geom_b").isNotNull(), common_area("geom_a", "geom_b"))
     from ..functions import geometry as G
@@ -234,7 +235,7 @@ def fused(members: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     out = out.withColumns({"repr_area_m2": G.area(shape), "repr_centroid_x": x, "repr_centroid_y": y, "comp_type": comp_type(F.col("n_a"), F.col("n_b"), True)})
     out = out.withColumns({"geom_complexity": F.when(from_a, F.col("cx_a")).otherwise(F.col("cx_b")), "geom_part_count": F.when(from_a, F.col("pc_a")).otherwise(F.col("pc_b"))})
     for name, rows, column in (("floor_band", mb, "floor_band_B"), ("is_height_valid", mb, "is_height_valid_B"), ("height_source", mb, "height_source_B"), ("purpose_category_B_mode", mb, "purpose_category_B"), ("category_A_mode", ma, "category_A")):
-        out = out.join(mode_first(rows, ["building"], column, "idx", name), "building", "left")
-    address = mode_first(ma.withColumn("address", normalised(F.col("gkh_address_A"))), ["building"], "address", "idx", "addr_norm")
-    out = out.join(address, "building", "left").withColumnRenamed("building", "building_id")
+        out = out.join(mode_first(rows, ["building_id"], column, "idx", name), "building_id", "left")
+    address = mode_first(ma.withColumn("address", normalised(F.col("gkh_address_A"))), ["building_id"], "address", "idx", "addr_norm")
+    out = out.join(address, "building_id", "left")
     return out.drop("geom_a", "geom_b", "shared", "size_a", "size_b", "c_a", "c_b", "cx_a", "cx_b", "pc_a", "pc_b", "area_ratio_a").withColumn("n_nodes", F.col("n_a") + F.col("n_b"))
