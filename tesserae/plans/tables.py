@@ -222,19 +222,23 @@ def rect_measures(table):
     return rounded(df.withColumn("npi", G.compactness(F.col("area"), F.col("perimeter"))), "npi", "cx", "cy", "area", "perimeter").select("key", "area", "perimeter", "cx", "cy", "points", "npi", "kind", "xmin", "ymax")
 
 
-@query(
-    """WITH t AS (SELECT p_partkey, 29 + (p_partkey % 250) / 100 AS lon, 59.4 + (p_partkey % 97) / 100 AS lat FROM part),
-e AS (SELECT *, 2 * sqrt(0.0016792203863836504e0) / 1.0016792203863836e0 AS e, sin(radians(lat)) AS s, radians(lon - 33) AS d FROM t),
+def _utm_sql() -> str:
+    n = G.FLATTENING / (2 - G.FLATTENING)
+    radius = G.AXIS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    a = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240]
+    term = lambda f, g: " + ".join(f"{v:.17e} * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, v in enumerate(a, 1))
+    return f"""WITH t AS (SELECT p_partkey, 29 + (p_partkey % 250) / 100 AS lon, 59.4e0 + (p_partkey % 97) / 100 AS lat FROM part),
+e AS (SELECT *, {2 * n**0.5 / (1 + n):.17e} AS e, sin(radians(lat)) AS s, radians(lon - 33) AS d FROM t),
 u AS (SELECT *, sinh(atanh(s) - e * atanh(e * s)) AS q FROM e),
 v AS (SELECT *, atan2(q, cos(d)) AS xi, atanh(sin(d) / sqrt(1 + q * q)) AS eta FROM u)
-SELECT p_partkey,
-  round(500000 + 0.9996e0 * 6367449.145823415e0 * (eta + 8.377318206244698e-4 * cos(2 * xi) * sinh(2 * eta) + 7.608527773572307e-7 * cos(4 * xi) * sinh(4 * eta) + 1.2033877875966646e-9 * cos(6 * xi) * sinh(6 * eta)), 2) AS east,
-  round(0.9996e0 * 6367449.145823415e0 * (xi + 8.377318206244698e-4 * sin(2 * xi) * cosh(2 * eta) + 7.608527773572307e-7 * sin(4 * xi) * cosh(4 * eta) + 1.2033877875966646e-9 * sin(6 * xi) * cosh(6 * eta)), 2) AS north FROM v"""
-)
+SELECT p_partkey, round(500000 + {0.9996 * radius:.17e} * (eta + {term("cos", "sinh")}), 3) AS east, round({0.9996 * radius:.17e} * (xi + {term("sin", "cosh")}), 3) AS north FROM v"""
+
+
+@query(_utm_sql())
 def utm_project(table):
     k = F.col("p_partkey")
     x, y = G.utm(29 + (k % 250) / 100, 59.4 + (k % 97) / 100)
-    return table("part").select("p_partkey", F.round(x, 2).alias("east"), F.round(y, 2).alias("north"))
+    return table("part").select("p_partkey", F.round(x, 3).alias("east"), F.round(y, 3).alias("north"))
 
 
 @query(f"WITH {PAIRS} SELECT a_idx, b_idx FROM p")
@@ -312,8 +316,8 @@ def repr_choice(table):
 
 
 @query(
-    """WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n, min(o_orderkey) AS at FROM orders GROUP BY 1, 2),
-m AS (SELECT o_custkey, arg_max(o_orderpriority, row(n, -at)) AS mode FROM c GROUP BY 1)
+    """WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n, min(o_orderkey) AS lead FROM orders GROUP BY 1, 2),
+m AS (SELECT o_custkey, arg_max(o_orderpriority, row(n, -lead)) AS mode FROM c GROUP BY 1)
 SELECT o.o_custkey, round(median(o_totalprice), 6) AS median, max(o_totalprice) AS most, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS ids, any_value(mode) AS mode FROM orders o JOIN m ON o.o_custkey = m.o_custkey GROUP BY 1"""
 )
 def group_median_mode(table):
