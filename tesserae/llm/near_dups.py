@@ -9,11 +9,10 @@ each symbol that may be wrong, with that symbol left out. All pairs within that
 
 Keys that one class has alone go. A group of many copies shares keys, and all of its pairs are never made. First each
 key gets a pivot, the class whose keys are the most shared; a class is compared with the pivot nearest by signature, and
-links that hold on the full sets give components. A key whose classes are in one component is done. For the others, the
-shingles that a class shares with any other class still in question bound its overlaps: a pair can be linked only if
-both sides hold enough shared shingles, and classes that have no such partner in a key leave it, which strips a group of
-its loose copies. Every pair across components that is left is verified on the full sets. So no pair that shares a key
-is left undecided, and the components are those of all links.
+links that hold on the full sets give components. A key whose classes are in one component is done. The classes of the
+others are joined exactly, with prefix and position filters over their shingles; the pairs across components that these
+leave are verified on the full sets. So no pair that shares a key is left undecided, and the components are those of all
+links.
 
 Null, empty: no shingles, linked with nothing. Rows without an id join no group: component_id is null, kept true. Rows
 with one id and different texts are linked like any others. Repeated rows fall into one class. An empty table gives no
@@ -36,6 +35,8 @@ from .text import documents, slices, written
 SYMBOLS, BITS, CHUNKS, ERRORS = 48, 16, 12, 1
 WIDTH = SYMBOLS // CHUNKS
 FARTHEST = CHUNKS * (ERRORS + 1) - 1
+#: Bits that bound the difference of two sets from below.
+PARITY = 1024
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -95,16 +96,22 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(work, "doc_id long, n long, set binary, signature binary")
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """PARITY bits, each toggled by every shingle that falls on it: two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((shingles >> np.uint64(64 - PARITY.bit_length() + 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def with_shingles(docs: DataFrame, k: int) -> DataFrame:
-    """set and shingles of every text that has any."""
+    """set, shingles and parity bits of every text that has any."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Hashes()
         for b in slices(batches, "text"):
             sets = [s for t in b.column("text").to_pylist() if len(s := text_shingles(t, k, known))]
-            yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["set", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([parity(s) for s in sets], pa.list_(pa.int64()))], ["set", "shingles", "bits"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(work, "set binary, shingles array<long>")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(work, "set binary, shingles array<long>, bits array<long>")
 
 
 def lookup_keys(signature: np.ndarray) -> np.ndarray:
@@ -190,11 +197,11 @@ def classes_of(sketches: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """c and shingles of the wanted classes, from the texts of their first documents."""
+    """c, shingles and bits of the wanted classes, from the texts of their first documents."""
     need = written(classes.join(wanted, "c", "left_semi").select("c", "set", "low"), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("low"), "text").join(need.select("low").distinct(), "low", "left_semi")
     shingled = with_shingles(texts, k)
-    return settled(shingled.join(need.select("c", "set"), "set").select("c", "shingles"), "sets")
+    return settled(shingled.join(need.select("c", "set"), "set").select("c", "shingles", "bits"), "sets")
 
 
 def links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame | None:
@@ -214,23 +221,34 @@ def links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFram
     rows = written(mixed_keys(joined_components(rows.select("key", "c"), first)), "mixed")
     if not rows.limit(1).count():
         return first
-    # shingles that a class shares with others in question; only these can be in an overlap
-    asked = sets.join(rows.select("c").distinct(), "c", "left_semi")
-    each = asked.select("c", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    alone = each.groupBy("shingle").agg(F.min("c").alias("c"), F.max("c").alias("last")).filter("c = last")
-    own = alone.groupBy("c").agg(F.count("*").alias("own"))
-    bounds = asked.select("c", F.size("shingles").alias("n")).join(own, "c", "left").select("c", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
-    # overlap >= percent / (100 + percent) * (n + m) and overlap <= most: the largest partner that a class can have
-    rows = rows.join(bounds.withColumn("largest", F.floor((F.col("most") * (100 + percent) - percent * F.col("n")) / percent)), "c")
-    rows = settled(rows.filter(F.col("largest") * 100 >= percent * F.col("n")), "asked")
-    for _ in range(2):
-        least = rows.groupBy("key").agg(F.min("n").alias("least"), F.max("largest").alias("widest"))
-        rows = rows.join(least, "key").filter("largest >= least and n <= widest").drop("least", "widest")
-        rows = written(mixed_keys(rows), "asked")
-    x, y = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("c", "comp", "n", "largest")]) for side in "xy")
-    crossing = x.join(y, "key").filter("c_x < c_y and comp_x != comp_y and n_y <= largest_x and n_x <= largest_y")
-    pairs = with_distance(crossing.select(F.col("c_x").alias("a"), F.col("c_y").alias("b")).distinct(), classes)
-    return first.union(settled(linked(settled(pairs, "pairs"), sets, percent), "links"))
+    return first.union(settled(linked(settled(crossing_pairs(rows, sets, percent), "pairs"), sets, percent), "links"))
+
+
+def crossing_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among the classes of rows that may reach the similarity.
+
+    An exact set-similarity join: shingles stand in one order, rarest first by the classes in question. Sets that reach
+    the similarity share a shingle of their prefixes; where the first that they share stands bounds their overlap, as
+    none of those before it is common. Parity bits then bound the difference of what is left from below. So a group of
+    loose copies makes hardly any pairs but those that are links or nearly so, though all of them share most shingles.
+    """
+    asked = rows.select("c", "comp").distinct()
+    each = sets.join(asked, "c").select("c", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    held = each.groupBy("shingle").agg(F.count("*").alias("many"))
+    order = F.array_sort(F.collect_list(F.struct("many", "shingle")))  # as long as the set itself
+    ordered = each.join(held, "shingle").groupBy("c", "comp", "n").agg(order.alias("order"))
+    prefix = F.slice("order", 1, F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
+    posted = ordered.select("c", "comp", "n", F.posexplode(prefix).alias("at", "one")).filter("one.many > 1")
+    posted = settled(posted.select("c", "comp", "n", "at", F.col("one.shingle").alias("shingle")), "posted")
+    bits = sets.select("c", *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(PARITY // 64)])
+    posted = posted.join(bits, "c")
+    x, y = (posted.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in posted.columns if c != "shingle"]) for side in "xy")
+    left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    enough = (100 + percent) * left >= percent * (F.col("n_x") + F.col("n_y"))
+    differ = sum((F.bit_count(F.col(f"b{i}_x").bitwiseXOR(F.col(f"b{i}_y"))) for i in range(PARITY // 64)), F.lit(0))
+    near = (100 + percent) * differ <= (100 - percent) * (F.col("n_x") + F.col("n_y"))
+    met = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("c_x") < F.col("c_y")) & (F.col("comp_x") != F.col("comp_y")) & enough & near)
+    return met.select(F.col("c_x").alias("a"), F.col("c_y").alias("b")).distinct()
 
 
 def components_by_set(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
