@@ -8,9 +8,9 @@ FM-index is built over it, and every window of every segment runs through backwa
 suffix range tells whether an earlier document holds it. Those matches of `window` words and more are intervals, which
 are joined back to the documents.
 
-Hot anchors (more than HOT rows) would put an unbounded group into one shard. Their segments are cut into single windows,
-equal windows are summed up before the shuffle, and the distinct ones are dealt to shards by a hash of the whole window;
-the answers are joined back, where Spark splits skewed keys.
+Hot anchors (more than HOT rows) would put an unbounded group into one shard. Equal segments of theirs are summed up
+before the shuffle, the distinct ones are cut into single windows, and these are dealt to shards by a hash of the whole
+window; the answers are joined back to the segments, where Spark splits skewed keys.
 
 Words are compared as they are, never as hashes alone. Null or empty texts have no words. Documents are ordered by
 doc_id; rows without one come after all others and none of them before another. Rows with equal ids are neither before
@@ -23,6 +23,7 @@ import gc
 import hashlib
 import time
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,9 @@ from .fm_index import FMIndex, range_minimum
 from .text import documents, slices, written
 
 WINDOW, ANCHOR = 13, 5
-HOT = 4096
-#: Words of one shard's index, about.
+#: Words of one shard's index, about; and the segments of about 16 words that make up so many.
 SHARD_WORDS = 1 << 19
+HOT = SHARD_WORDS // 16
 LAST = (1 << 63) - 1
 
 
@@ -89,7 +90,7 @@ def find_anchors(docs: DataFrame, window: int, run: int) -> DataFrame:
         known = Hashes()
         for b in slices(batches, "text"):
             split, ends = batch_words(b.column("text").to_pylist())
-            hashes = np.fromiter((known[w] for words in split for w in words), np.uint64, int(ends[-1]))
+            hashes = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.uint64, int(ends[-1]))
             starts, sizes, anchor = anchors(hashes, ends, window, run)
             doc = np.searchsorted(ends, starts, side="right")
             begins = ends - [len(w) for w in split]
@@ -234,13 +235,17 @@ def intervals(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR, hot: int
     words = segments.agg(F.sum(F.octet_length("words")).alias("b")).first()["b"] or 0
     shards = max(1, words // (6 * SHARD_WORDS), docs.sparkSession.sparkContext.defaultParallelism if words > SHARD_WORDS else 1)
     usual = search_segments(dealt_by(segments.filter("not hot"), "anchor", int(shards)), window)
+    crowded = segments.filter("hot")
     cut = F.split(F.decode("words", "UTF-8"), " ")
-    each = segments.filter("hot").select("place", "tag", "start", cut.alias("w"))
+    each = crowded.groupBy("words").agg(F.min("place").alias("place")).select(F.col("words").alias("segment"), "place", cut.alias("w"))
     offsets = F.sequence(F.lit(0), F.size("w") - window)
-    each = each.select("place", "tag", "start", F.posexplode(F.transform(offsets, lambda k: F.encode(F.array_join(F.slice("w", k + 1, window), " "), "UTF-8"))).alias("k", "words"))
-    distinct = each.groupBy("words").agg(F.min("place").alias("place"))
-    answers = search_windows(dealt_by(distinct, "words", int(shards)), window)
-    held = each.join(answers, "words").filter("least < place").select("place", "tag", (F.col("start") + F.col("k")).alias("start"), (F.col("start") + F.col("k") + window).alias("end"))
+    each = each.select("segment", "place", F.posexplode(F.transform(offsets, lambda k: F.encode(F.array_join(F.slice("w", k + 1, window), " "), "UTF-8"))).alias("k", "words"))
+    answers = search_windows(dealt_by(each.groupBy("words").agg(F.min("place").alias("place")), "words", int(shards)), window)
+    answered = each.join(answers, "words").groupBy("segment").agg(F.array_sort(F.collect_list(F.struct("k", "least"))).alias("answers"))
+    # a segment has fewer windows than a window has words, so what its first and last hit cover is one interval
+    hits = F.transform(F.filter("answers", lambda x: x.getField("least") < F.col("place")), lambda x: x.getField("k"))
+    held = crowded.join(answered, F.col("words") == F.col("segment")).withColumn("hits", hits).filter(F.size("hits") > 0)
+    held = held.select("place", "tag", (F.col("start") + F.array_min("hits")).alias("start"), (F.col("start") + F.array_max("hits") + window).alias("end"))
     return settled(usual.unionByName(held), "intervals")
 
 
