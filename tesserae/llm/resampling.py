@@ -23,6 +23,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ def features(texts: list[str | None], codes: Codes) -> tuple[np.ndarray, np.ndar
     """Buckets of all n-grams of the texts, and the texts they belong to."""
     split = [CUT.findall((t or "").lower()) for t in texts]
     owner = np.repeat(np.arange(len(texts)), [len(w) for w in split])
-    code = np.fromiter((codes[w] for words in split for w in words), np.int64, len(owner))
+    code = np.fromiter(map(codes.__getitem__, chain.from_iterable(split)), np.int64, len(owner))
     left, right = code[:-1], code[1:]
     inside = owner[1:] == owner[:-1]
     pair = np.where(left == right, 0, 1 + ((left * 0x9E3779B1 + right * 0x85EBCA6B) >> 7) % (BUCKETS - 1))
@@ -73,9 +74,8 @@ class Model:
 
     def weights(self, texts: list[str | None], codes: Codes) -> np.ndarray:
         bucket, owner = features(texts, codes)
-        total = np.zeros(len(texts), np.int64)
-        np.add.at(total, owner, self.ratios[bucket])
-        return total / SCALE
+        # whole numbers, and so few that every sum is exact
+        return np.bincount(owner, weights=self.ratios[bucket], minlength=len(texts)) / SCALE
 
 
 def labelled_sample(labelled: DataFrame, most: int) -> DataFrame:
