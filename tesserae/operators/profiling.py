@@ -99,7 +99,6 @@ def normal_quantile(p: pd.Series) -> pd.Series:
 def normal_plot(df: DataFrame, value: str, key: str) -> DataFrame:
     """Each value beside the normal quantile of its rank (Filliben's medians)."""
     ranked = ecdf(df, value, key)
-    n = F.max("rank").over(Window.partitionBy())
     n = ranked.agg(F.max("rank")).first()[0] or 1
     last = 0.5 ** (1.0 / n)
     p = F.when(F.col("rank") == 1, 1 - last).when(F.col("rank") == n, last).otherwise((F.col("rank") - 0.3175) / (n + 0.365))
