@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import SPACES, documents, lookup, written
+from .text import documents, lookup, written
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)

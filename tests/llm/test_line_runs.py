@@ -10,7 +10,6 @@ from .brute import CLASHES, odd_rows, table, words
 
 
 def brute(rows, min_lines, min_words):
-    tag = {}
     docs = sorted({(float("inf") if i is None else i, t or "", t is None) for i, t, _ in rows})
     seen1, seen, gone = {}, {}, {}
     for place, text, _ in docs:
@@ -23,7 +22,6 @@ def brute(rows, min_lines, min_words):
             if len(run) == min_lines and seen.setdefault(run, (place, text, k)) != (place, text, k):
                 out |= set(range(k, k + min_lines))
         gone[place, text] = (len(full), {full[k][0] for k in out})
-    del tag
     result = []
     for i, t, _ in rows:
         n, cut = gone[float("inf") if i is None else i, t or ""]

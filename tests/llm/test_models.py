@@ -10,7 +10,7 @@ import pytest
 
 from tesserae.llm import personal, resampling
 
-from .brute import CLASHES, odd_rows, table
+from .brute import CLASHES, table
 
 
 def test_kth_largest(spark):
