@@ -7,8 +7,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tesserae.llm import personal, resampling
+from tesserae.llm.text import documents, labels
 
 from .brute import CLASHES, table
 
@@ -64,6 +66,15 @@ def test_resampling(spark):
     assert resampling.resampled(table(spark, []), marks).count() == 0
 
 
+def test_verdicts_on_held_out_labels(spark):
+    folder, half = "/root/testdata/sf0.1", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(2))
+    marks = labels(spark, folder)
+    got = resampling.resampled(documents(spark, folder), marks.filter(half == 0)).select("doc_id", "kept")
+    held = marks.filter(half == 1).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    kept = {r.quality: r.kept for r in got.join(held, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept[1] >= 0.99 and kept[0] <= 0.2
+
+
 def test_gradients():
     tagger, rnd = personal.Tagger(1), np.random.default_rng(1)
     x, _ = personal.training_set(3, 9)
