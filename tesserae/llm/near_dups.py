@@ -197,11 +197,12 @@ def classes_of(sketches: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """c, shingles and bits of the wanted classes, from the texts of their first documents."""
+    """c, shingles and bits of the wanted classes, from the texts of their first documents; one row a class, however often these stand in docs."""
     need = written(classes.join(wanted, "c", "left_semi").select("c", "set", "low"), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("low"), "text").join(need.select("low").distinct(), "low", "left_semi")
     shingled = with_shingles(texts, k)
-    return settled(shingled.join(need.select("c", "set"), "set").select("c", "shingles", "bits"), "sets")
+    # a set is one class; the join has dealt the rows by it
+    return settled(shingled.join(need.select("c", "set"), "set").dropDuplicates(["set"]).select("c", "shingles", "bits"), "sets")
 
 
 def links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame | None:

@@ -80,3 +80,10 @@ def test_groups(spark, k, percent, rows):
 def test_empty(spark):
     assert grouped(table(spark, [])).count() == 0
     assert [tuple(r) for r in grouped(table(spark, [(4, None, None), (None, None, "x")])).orderBy("doc_id").collect()] == [(None, 0, None, True), (4, 0, 4, True)]
+
+
+def test_repeated_rows_of_loose_groups(spark):
+    """Rows that stand three times lengthen no list of shingles, so that the prefix join still meets all pairs."""
+    rows = near_rows(2, 20, 40)
+    got = grouped(table(spark, [r for r in rows for _ in range(3)]), 3, 85).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, 3 * brute(rows, 3, 85)))
