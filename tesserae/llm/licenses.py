@@ -7,6 +7,9 @@ rarest: a block that meets it holds one of those. Blocks are joined with the pre
 block has fewer than c words (length filter) or if too few words follow the shared one in either order (positional
 filter); what is left is verified on the full sets.
 
+A notice may be wrapped, so a run of as many consecutive words as the template has is a block too where it goes over a
+line's end. Such runs are looked at around each word of a template's prefix alone, as no other can meet it.
+
 Null or empty texts have no blocks. Rows with the same id and text get the same labels. Rows without an id are scanned
 too. An empty table gives no rows.
 """
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .text import documents, lower_ascii, written
@@ -53,7 +56,7 @@ def needed(size: int, threshold: float) -> int:
 
 
 def block_matches(docs: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """id, key (hash of the text), block, template and containment of every block that meets a template."""
+    """id, key (hash of the text), template and containment of every block that meets a template."""
     sets = {name: sorted(set(tokens(t))) for name, t in templates.items()}
     vocabulary = sorted(set().union(*sets.values()))
     text = lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -86,7 +89,34 @@ def block_matches(docs: DataFrame, templates: dict[str, str], threshold: float)
         .withColumn("overlap", F.size(F.array_intersect("shared", "words")))
         .filter(F.col("overlap") >= F.col("least"))
     )
-    return pairs.groupBy("id", "key", "block", "template").agg(F.max(F.col("overlap") / F.col("size")).alias("containment"))
+    met = pairs.groupBy("id", "key", "block", "template").agg(F.max(F.col("overlap") / F.col("size")).alias("containment"))
+    return met.select("id", "key", "template", "containment").unionByName(wrapped_matches(docs, templates, vocabulary, prefixes, full))
+
+
+def wrapped_matches(docs: DataFrame, templates: dict[str, str], vocabulary: list[str], prefixes: DataFrame, full: DataFrame) -> DataFrame:
+    """id, key, template and containment of the runs of words over line ends that meet a template."""
+    longest = max((len(tokens(t)) for t in templates.values()), default=1)
+    lengths = docs.sparkSession.createDataFrame([(name, len(tokens(t))) for name, t in templates.items()], "template string, length int")
+    rare = [r["word"] for r in prefixes.select("word").distinct().collect()]  # at most the templates' words
+    text = lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    every = F.transform(F.split(text, "\n"), lambda x, i: F.transform(F.filter(F.split(x, BREAKS), lambda w: w != ""), lambda w: F.struct(i.alias("no"), w.alias("word"))))
+    placed = F.transform(F.flatten(every), lambda x, p: F.struct(p.alias("p"), x["no"].alias("no"), x["word"].alias("word")))
+    hits = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), F.filter(placed, lambda x: x["word"].isin(vocabulary)).alias("hits"))
+    # places differ, so those within a run of a word are at most as many entries away
+    around = lambda j: F.slice("hits", F.greatest(j - longest + 1, F.lit(0)) + 1, 2 * longest - 1)
+    near = F.transform("hits", lambda x, j: F.when(x["word"].isin(rare), F.struct(x["p"].alias("p"), x["word"].alias("word"), around(j).alias("near"))))
+    seeds = hits.select("id", "key", F.explode(F.filter(near, lambda x: x.isNotNull())).alias("one")).select("id", "key", "one.*")
+    seeds = seeds.filter(F.element_at("near", 1)["no"] < F.element_at("near", -1)["no"])
+    asked = seeds.join(F.broadcast(prefixes), "word").join(F.broadcast(full), "template").join(F.broadcast(lengths), "template")
+    own = F.filter("near", lambda x: F.array_contains("words", x["word"]) & (F.abs(x["p"] - F.col("p")) < F.col("length")))
+    asked = asked.withColumn("own", own).filter(F.size("own") >= F.col("least"))
+
+    def held(x: Column) -> Column:
+        inside = F.filter("own", lambda y: (y["p"] >= x["p"]) & (y["p"] < x["p"] + F.col("length")))
+        return F.size(F.array_distinct(F.transform(inside, lambda y: y["word"])))
+
+    best = asked.withColumn("overlap", F.array_max(F.transform("own", held))).filter(F.col("overlap") >= F.col("least"))
+    return best.select("id", "key", "template", (F.col("overlap") / F.col("size")).alias("containment"))
 
 
 def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES) -> DataFrame:

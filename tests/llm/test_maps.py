@@ -74,6 +74,22 @@ def test_licenses(spark):
     assert licenses.scanned(table(spark, [])).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    """Notices over several lines are found, whatever stands before and after; words of two notices are not put together."""
+    import textwrap
+
+    rows, want = [], {}
+    for i, (name, t) in enumerate(licenses.TEMPLATES.items()):
+        for width in (20, 40, 72):
+            lines = textwrap.wrap(f"some words stand before it {t} and some after", width)
+            rows.append((len(rows), "\n".join(f" * {x}" for x in lines), "a"))
+            want[len(rows) - 1] = name
+    rows.append((900, "etwas mit\nLicensed under the Apache License, Version 2.0", "a"))
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scanned(table(spark, rows)).collect()}
+    assert all(name in got[i] for i, name in want.items())
+    assert got[900] == ["apache-2.0"]
+
+
 def test_media(spark):
     rows = odd_rows()
     got = media.described(media.stored(table(spark, rows, CLASHES))).collect()
