@@ -437,16 +437,16 @@ def linear_trend(table):
 
 @query()
 def rf_predict(table):
-    """A forest for prices from size and kind; a fifth of the parts counts as unlabelled. 20 trees of depth 8 keep the query short."""
+    """A forest for prices from size and kind; a fifth of the parts counts as unlabelled."""
     df = table("part").select("p_partkey", F.col("p_size").cast("double").alias("size"), (F.col("p_partkey") % 1000).cast("double").alias("place"), F.length("p_type").cast("double").alias("kind"), F.col("p_retailprice").alias("price"))
-    model = learning.fit(df.filter("p_partkey % 5 > 0"), "p_partkey", "price", ["size", "place", "kind"], trees=20, depth=8)
+    model = learning.fit(df.filter("p_partkey % 5 > 0"), "p_partkey", "price", ["size", "place", "kind"])
     return learning.predicted(model, df.filter("p_partkey % 5 = 0"), "predicted").select("p_partkey", "predicted")
 
 
 @query()
 def rf_importance(table):
     df = table("part").select("p_partkey", F.col("p_size").cast("double").alias("size"), (F.col("p_partkey") % 1000).cast("double").alias("place"), F.col("p_retailprice").alias("price"))
-    model = learning.fit(df, "p_partkey", "price", ["size", "place"], trees=10, depth=6)
+    model = learning.fit(df, "p_partkey", "price", ["size", "place"])
     return learning.importances(model, ["size", "place"], df)
 
 

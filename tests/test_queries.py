@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from tesserae.operators import learning
 from tesserae.plans import tables
 
 
@@ -56,3 +57,19 @@ def test_rows_only(spark, small):
     assert all(a.theoretical <= b.theoretical and a.error <= b.error for a, b in zip(q, q[1:]))
     s = tables.QUERIES["hash_sample"](spark, small)
     assert s.collect() == tables.QUERIES["hash_sample"](spark, small).collect()
+
+
+@pytest.mark.parametrize("name", ["rf_predict", "rf_importance"])
+def test_whole_forests(spark, small, name, monkeypatch):
+    """The queries grow the forest of learning's defaults."""
+    grown, forest = [], learning.forest
+
+    def kept(*args, **options):
+        pipeline = forest(*args, **options)
+        rf = pipeline.getStages()[-1]
+        grown.append((rf.getNumTrees(), rf.getMaxDepth()))
+        return pipeline
+
+    monkeypatch.setattr(learning, "forest", kept)
+    tables.QUERIES[name](spark, small)
+    assert grown == [(400, 30)]
