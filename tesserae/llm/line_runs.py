@@ -8,7 +8,7 @@ longer run of theirs repeats either; so do pairs that reach beyond a document's
 an interval of the suffix array with a longest common prefix of d lines or more. The intervals at depth `min_lines`
 (from two overlapping powers of two, if it is none) hold every repeated run of that many lines: the union of their
 windows is the union of all maximal runs, so deeper ranks would name the same lines. A line of `min_words` words or
-more counts as a run by itself. Each run stays where it occurs first, by doc_id and place in the document; its later
+more counts as a run by itself, and with `pair_words` so do two lines that hold so many together. Each run stays where it occurs first, by doc_id and place in the document; its later
 copies are deleted.
 
 Null or empty texts have no lines. Lines without a word are kept. Rows without an id come after all others, ordered by a
@@ -17,12 +17,16 @@ hash of the text. Rows equal in id and text are one document and give equal resu
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .text import SPACES, documents, written
 
 MIN_LINES, MIN_WORDS = 3, 30
+#: Words of two lines, for callers that take these as a run; OP10_SQL does not.
+PAIR_WORDS = 51
 LAST = (1 << 63) - 1
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -45,40 +49,44 @@ def numbered(rows: DataFrame, *keys: str, depth: int) -> DataFrame:
 
 
 def shifted(suffixes: DataFrame, by: int) -> DataFrame:
-    """Each suffix's rank beside that of the suffix `by` lines further on, where there is one."""
-    on = suffixes.select("place", "tag", (F.col("i") - by).cast("int").alias("i"), F.col("rank").alias("right"))
-    return suffixes.select("place", "tag", "i", F.col("rank").alias("left")).join(on, ["place", "tag", "i"])
+    """Each suffix's rank beside that of the suffix `by` lines further on, where there is one, and the words of both."""
+    on = suffixes.select("place", "tag", (F.col("i") - by).cast("int").alias("i"), F.col("rank").alias("right"), F.col("words").alias("more"))
+    both = suffixes.select("place", "tag", "i", F.col("rank").alias("left"), "words").join(on, ["place", "tag", "i"])
+    return both.withColumn("words", F.col("words") + F.col("more")).drop("more")
 
 
 def at_place(docs: DataFrame, text: Column) -> DataFrame:
     return docs.withColumn("place", F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long")).withColumn("tag", F.xxhash64(text))
 
 
-def deletions(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def deletions(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, pair_words: int | None = None) -> DataFrame:
     """place, tag and gone: per document that loses lines, the sorted numbers of these among its lines with a word."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     full = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     lines = at_place(docs.select("doc_id", "text"), F.col("text")).select("place", "tag", F.posexplode(full).alias("i", "line"))
-    lines = lines.select("place", "tag", "i", F.xxhash64("line").alias("id"), (F.size(F.split(F.trim(F.regexp_replace("line", SPACES, " ")), " ")) >= min_words).alias("long"))
+    lines = lines.select("place", "tag", "i", F.xxhash64("line").alias("id"), F.size(F.split(F.trim(F.regexp_replace("line", SPACES, " ")), " ")).alias("words"))
     one = numbered(lines, "id", depth=1).dropDuplicates(["place", "tag", "i"])
     later = F.col("first") != F.struct("place", "tag", "i")
-    gone = [one.filter(later & F.col("long")).select("place", "tag", "i")]
+    gone = [one.filter(later & (F.col("words") >= min_words)).select("place", "tag", "i")]
     depth, suffixes = 1, one
     while depth < min_lines:
         step = min(depth, min_lines - depth)
         suffixes = numbered(shifted(suffixes, step), "left", "right", depth=depth + step)
         depth += step
+        if depth == 2 and pair_words is not None:
+            pairs = suffixes.filter(later & (F.col("words") >= pair_words))
+            gone.append(pairs.select("place", "tag", F.explode(F.array("i", (F.col("i") + 1).cast("int"))).alias("i")))
     runs = suffixes.filter(later)
     gone.append(runs.select("place", "tag", F.explode(F.sequence(F.col("i"), F.col("i") + min_lines - 1)).alias("i")))
-    return gone[0].unionByName(gone[1]).groupBy("place", "tag").agg(F.array_sort(F.collect_set("i")).alias("gone"))
+    return reduce(DataFrame.unionByName, gone).groupBy("place", "tag").agg(F.array_sort(F.collect_set("i")).alias("gone"))
 
 
-def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, pair_words: int | None = None) -> DataFrame:
     """The rows of docs with text shortened (null stays null), and n_lines, n_deleted: lines with a word, and those deleted.
 
     Columns of the latter names in docs are replaced; all others are kept, whatever their names.
     """
-    listed = deletions(docs, min_lines, min_words)
+    listed = deletions(docs, min_lines, min_words, pair_words)
     rows = docs.drop("n_lines", "n_deleted").select(F.struct("*").alias("row"))
     rows = rows.select("row", F.coalesce(F.col("row.doc_id"), F.lit(LAST)).cast("long").alias("place"), F.xxhash64("row.text").alias("tag"))
     joined = rows.join(listed, ["place", "tag"], "left").select("row", "gone", F.split(F.coalesce(F.col("row.text").cast("string"), F.lit("")), "\n").alias("lines"))

@@ -46,6 +46,17 @@ def test_runs(spark, min_lines):
     assert sum(r[3] for r in want) > 50
 
 
+def test_pairs(spark):
+    """Two repeated lines that hold 51 words together are a run if asked for; 50 words are not, nor lines that repeat apart."""
+    line = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c, d = line("a", 29), line("b", 25), line("c", 25), line("d", 25)
+    rows = [(1, f"x\n{a}\n{b}\ny", "a"), (2, f"{a}\n{b}\nz", "a"), (3, f"{c}\n{d}\nu", "a"), (4, f"{c}\n{d}\nv", "a"), (5, f"{b}\nw\n{a}", "a")]
+    kept = lambda **more: {r.doc_id: (r.text, r.n_deleted) for r in deduplicated(table(spark, rows), 3, 30, **more).collect()}
+    whole = {i: (t, 0) for i, t, _ in rows}
+    assert kept() == whole
+    assert kept(pair_words=51) == whole | {2: ("z", 2)}
+
+
 def test_empty(spark):
     assert deduplicated(table(spark, [])).count() == 0
     assert [tuple(r)[1] for r in deduplicated(table(spark, [(None, None, None)])).collect()] == [None]
