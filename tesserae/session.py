@@ -1,4 +1,4 @@
-"""Sessions with the settings that the engine expects."""
+"""Sessions with the settings that the engine expects, and the folder that all machines share."""
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,14 +11,18 @@ def session(name: str = "tesserae", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint in the folder that the session names; only without one, in a folder of its own."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            import tempfile
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; where that is unset, one in the warehouse, which is shared as well. Never a machine's own."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
 
-            folder = tempfile.mkdtemp(prefix="tesserae-")
-        spark.sparkContext.setCheckpointDir(folder)
+def cut(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
