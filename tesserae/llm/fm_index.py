@@ -59,7 +59,7 @@ class Wavelet:
 
 
 class FMIndex:
-    """Finds patterns of up to `depth` symbols. Symbols are 0 .. sigma - 1; 0 ends every sequence and occurs in no pattern."""
+    """Finds patterns of up to `depth` symbols, and matching statistics. Symbols are 0 .. sigma - 1; 0 ends every sequence and occurs in no pattern."""
 
     def __init__(self, symbols: np.ndarray, sigma: int, depth: int):
         if len(symbols) and symbols[-1]:
@@ -79,45 +79,38 @@ class FMIndex:
             high = self.first[s] + self.wavelet.rank(s, high)
         return low, high
 
-    def repeated(self, symbols: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of patterns that are taken from the indexed text: those that occur twice or more, and their ranges.
-
-        A pattern leaves as soon as its range holds one suffix, which is its own.
-        """
-        live = np.arange(len(starts))
-        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), self.n, np.int64)
-        for back in range(length - 1, -1, -1):
-            s = symbols[starts[live] + back]
-            low, high = self.first[s] + self.wavelet.rank(s, low), self.first[s] + self.wavelet.rank(s, high)
-            more = high - low > 1
-            if not more.all():
-                live, low, high = live[more], low[more], high[more]
-        return live, low, high
-
-    def statistics(self, symbols: np.ndarray, ends: np.ndarray, most: int) -> np.ndarray:
-        """Matching statistics: the longest suffix, up to `most` symbols, of what stands before each end that occurs in the index."""
+    def statistics(self, symbols: np.ndarray, ends: np.ndarray, most: np.ndarray, least: "RangeMinimum | None" = None, below: np.ndarray | None = None) -> np.ndarray:
+        """Matching statistics: the longest suffix, up to `most` symbols, of what stands before each end that occurs in
+        the index; with `least`, that occurs at a suffix whose value is less than the end's in `below`."""
         low, high, length = np.zeros(len(ends), np.int64), np.full(len(ends), self.n, np.int64), np.zeros(len(ends), np.int64)
         live = np.arange(len(ends))
-        for back in range(1, most + 1):
-            live = live[ends[live] - back >= 0]
+        for back in range(1, int(most.max(initial=0)) + 1):
+            live = live[most[live] >= back]
             s = symbols[ends[live] - back]
             ok = s > 0
             live, s = live[ok], s[ok]
             a, b = self.first[s] + self.wavelet.rank(s, low[live]), self.first[s] + self.wavelet.rank(s, high[live])
             ok = a < b
+            if least is not None:
+                ok[ok] = least(a[ok], b[ok]) < below[live[ok]]
             live = live[ok]
             low[live], high[live] = a[ok], b[ok]
             length[live] = back
         return length
 
 
-def range_minimum(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """The least of values[low:high] for each of many non-empty ranges: a sparse table, built as far as ranges need it."""
-    out = np.empty(len(low), values.dtype)
-    level = np.frexp((high - low).astype(np.float64))[1] - 1
-    table, k = values, 0
-    for k in range(int(level.max(initial=0)) + 1):
-        here = np.flatnonzero(level == k)
-        out[here] = np.minimum(table[low[here]], table[high[here] - (1 << k)])
-        table = np.minimum(table[: len(table) - (1 << k)], table[1 << k :]) if len(table) > 1 << k else table
-    return out
+class RangeMinimum:
+    """The least of values[low:high] for each of many non-empty ranges: a sparse table."""
+
+    def __init__(self, values: np.ndarray):
+        self.tables = [values]
+        while len(self.tables[-1]) > (half := 1 << len(self.tables) - 1):
+            self.tables.append(np.minimum(self.tables[-1][:-half], self.tables[-1][half:]))
+
+    def __call__(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        level = np.frexp((high - low).astype(np.float64))[1] - 1
+        out = np.empty(len(low), self.tables[0].dtype)
+        for k in np.unique(level).tolist():
+            here = np.flatnonzero(level == k)
+            out[here] = np.minimum(self.tables[k][low[here]], self.tables[k][high[here] - (1 << k)])
+        return out

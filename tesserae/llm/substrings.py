@@ -1,43 +1,49 @@
-"""Substring dedup: windows of words that an earlier document holds, found with compressed FM-indexes.
+"""Substring dedup: runs of words that an earlier document holds, found by the matching statistics of FM-indexes.
 
 Windows are dealt to shards by content, so that each shard's index holds every occurrence of the windows it answers for.
 A window's anchor is the leftmost least hash among its runs of ANCHOR words; consecutive windows with one anchor form a
-segment. Anchors that occur in a single document are dropped at once, as their windows can't repeat. The segments of the
-others go to the shard of their anchor. There the distinct segments are laid out as one sequence of word numbers, an
-FM-index is built over it, and every window of every segment runs through backward search; the least document over its
-suffix range tells whether an earlier document holds it. Those matches of `window` words and more are intervals, which
-are joined back to the documents.
-
-Hot anchors (more than HOT rows) would put an unbounded group into one shard. Equal segments of theirs are summed up
-before the shuffle, the distinct ones are cut into single windows, and these are dealt to shards by a hash of the whole
-window; the answers are joined back to the segments, where Spark splits skewed keys.
+segment. Segments whose anchor occurs in a single document are dropped, as their windows can't repeat. The others go to
+the shard of their anchor. There the distinct segments are laid out as one sequence of word numbers and a compressed
+FM-index is built over it. The segments are then streamed through backward search: at each of their words the matching
+statistic is the longest run that ends there and that the index holds for an earlier document, by the least document
+over the suffix range. Statistics of `window` words and more give the intervals, which are joined back to the documents.
+A segment that stands in an earlier document as a whole is one interval.
+
+Which anchors repeat is counted from what each part of the table has summed up: rows whose anchor two documents of the
+part hold are known to repeat, and one row speaks for all of them. So a hot anchor sends a few rows to its counter. If an
+anchor has more than HOT segments, its shard would be an unbounded group: the distinct ones are cut into single windows,
+and these are dealt to shards by a hash of the whole window; the answers are joined back to the segments, where Spark
+splits skewed keys.
 
 Words are compared as they are, never as hashes alone. Null or empty texts have no words. Documents are ordered by
 doc_id; rows without one come after all others and none of them before another. Rows with equal ids are neither before
-the other. Texts shorter than a window lose nothing. An empty table gives no rows.
+the other. Texts shorter than a window lose nothing. A very long text is cut like any other: its segments go to many
+shards, and a batch holds one such text at a time. An empty table gives no rows. Columns besides doc_id and text are not
+looked at, whatever their names.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import time
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .fm_index import FMIndex, range_minimum
-from .text import documents, slices, written
+from .fm_index import FMIndex, RangeMinimum
+from .text import LAST, NAME, documents, dropped, lookup, named, slices, written
 
 WINDOW, ANCHOR = 13, 5
 #: Words of one shard's index, about; and the segments of about 16 words that make up so many.
 SHARD_WORDS = 1 << 19
 HOT = SHARD_WORDS // 16
-LAST = (1 << 63) - 1
+#: Text of the parts whose anchors are summed up at once.
+PART_BYTES = 16 << 20
+NAMES = "place long, tag long, more long"
 
 
 class Hashes(dict):
@@ -86,19 +92,43 @@ def batch_words(texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarray]
 
 
 def find_anchors(docs: DataFrame, window: int, run: int) -> DataFrame:
+    """The segments, with `known` if two documents of the table's part hold the anchor, and a notice for each such anchor.
+
+    deal: what rows are dealt by, the anchor for the notices and the segments that are not known. low and high: the first
+    and the last place that a row speaks for.
+    """
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
-        for b in slices(batches, "text"):
+        hashed = Hashes()
+        for b in slices(batches, "text", PART_BYTES):
             split, ends = batch_words(b.column("text").to_pylist())
-            hashes = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.uint64, int(ends[-1]))
+            hashes = np.fromiter(map(hashed.__getitem__, chain.from_iterable(split)), np.uint64, int(ends[-1]))
             starts, sizes, anchor = anchors(hashes, ends, window, run)
             doc = np.searchsorted(ends, starts, side="right")
             begins = ends - [len(w) for w in split]
-            pick = pa.array(doc)
-            columns = [b.column("place").take(pick), b.column("tag").take(pick), pa.array((starts - begins[doc]).astype(np.int32)), pa.array(sizes.astype(np.int32)), pa.array(anchor)]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "tag", "start", "windows", "anchor"])
-
-    return docs.mapInArrow(work, "place long, tag int, start int, windows int, anchor long")
+            names = [b.column(c).to_numpy() for c in NAME]
+            place = names[0][doc]
+            order = np.argsort(anchor, kind="stable")
+            heads = np.flatnonzero(np.append(True, np.diff(anchor[order]) != 0)) if len(order) else order
+            low, high = (f.reduceat(place[order], heads) if len(order) else place for f in (np.minimum, np.maximum))
+            twice = np.flatnonzero(low < high)
+            known = np.empty(len(order), bool)
+            known[order] = np.repeat(low < high, np.diff(np.append(heads, len(order))))
+            m = len(twice)
+            own = names[1][doc] ^ place * np.int64(0x9E3779B1)
+            pad = np.zeros(m, np.int64)
+            columns = [
+                *[np.append(c[doc], pad) for c in names],
+                np.append(starts - begins[doc], pad).astype(np.int32),
+                np.append(sizes, pad).astype(np.int32),
+                np.append(anchor, anchor[order[heads[twice]]] if m else pad),
+                np.append(np.where(known, own, anchor), anchor[order[heads[twice]]] if m else pad),
+                np.append(place, low[twice]),
+                np.append(place, high[twice]),
+            ]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(np.append(known, np.zeros(m, bool)))], [*NAME, "start", "windows", "anchor", "deal", "low", "high", "known"])
+
+    return docs.mapInArrow(work, f"{NAMES}, start int, windows int, anchor long, deal long, low long, high long, known boolean")
 
 
 def cut_segments(docs: DataFrame, window: int) -> DataFrame:
@@ -116,14 +146,14 @@ def cut_segments(docs: DataFrame, window: int) -> DataFrame:
                 out += [b" ".join(words[x : x + y + window - 1]) for x, y in zip(starts[at : at + n], windows[at : at + n])]
                 at += n
             row = pa.array(np.repeat(np.arange(len(counts)), counts))
-            columns = [b.column("place").take(row), b.column("tag").take(row), flat.field("start"), flat.field("anchor"), flat.field("hot"), pa.array(out, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "tag", "start", "anchor", "hot", "words"])
+            columns = [*[b.column(c).take(row) for c in NAME], flat.field("start"), flat.field("anchor"), pa.array(out, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*NAME, "start", "anchor", "words"])
 
-    return docs.mapInArrow(work, "place long, tag int, start int, anchor long, hot boolean, words binary")
+    return docs.mapInArrow(work, f"{NAMES}, start int, anchor long, words binary")
 
 
-def index_of(segments: list[bytes], places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of the distinct segments, in order, the least place that holds it; and the windows before each segment."""
+def index_of(segments: list[bytes]) -> tuple[FMIndex, np.ndarray, np.ndarray, np.ndarray]:
+    """The index over distinct segments, their words as numbers, and where each begins and how long it is."""
     numbers: dict[bytes, int] = {}
     symbols: list[int] = []
     lengths = []
@@ -132,19 +162,30 @@ def index_of(segments: list[bytes], places: np.ndarray, window: int) -> tuple[np
         symbols += [numbers.setdefault(w, len(numbers) + 1) for w in words]
         symbols.append(0)
         lengths.append(len(words))
-    text = np.array(symbols, np.int64)
-    length = np.array(lengths, np.int64)
-    begin = np.cumsum(length + 1) - (length + 1)
-    index = FMIndex(text, len(numbers) + 1, window)
-    held = np.repeat(places, length + 1)[index.order]
+    text, length = np.array(symbols, np.int64), np.array(lengths, np.int64)
+    index = FMIndex(text, len(numbers) + 1, int(length.max(initial=1)))
+    return index, text, np.cumsum(length + 1) - (length + 1), length
+
+
+def earlier_runs(segments: list[bytes], places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segment, first and last word (exclusive) of the longest runs, of `window` words or more, that the distinct segments
+    share with one of a smaller place; in the order of the segments. Runs may overlap."""
+    index, text, begin, length = index_of(segments)
+    order = np.unique(places, return_inverse=True)[1].astype(np.int32)
+    least = RangeMinimum(np.repeat(order, length + 1)[index.order])
     counts = length - window + 1
-    before = np.append(0, np.cumsum(counts))
-    starts = np.repeat(begin - before[:-1], counts) + np.arange(before[-1])
-    least = np.repeat(places, counts)
-    for k in range(0, len(starts), 1 << 18):
-        found, low, high = index.repeated(text, starts[k : k + (1 << 18)], window)
-        least[k + found] = range_minimum(held, low, high)
-    return least, before
+    segment = np.repeat(np.arange(len(segments)), counts)
+    most = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + window
+    found = [np.zeros(0, np.int64)]
+    for k in range(0, len(most), 1 << 18):
+        part = slice(k, k + (1 << 18))
+        found.append(index.statistics(text, begin[segment[part]] + most[part], most[part], least, order[segment[part]]))
+    matched = np.concatenate(found)
+    first = most - matched
+    hit = matched >= window
+    longer = np.append(hit[1:] & (segment[1:] == segment[:-1]) & (first[1:] <= first[:-1]), False)  # the next one covers it
+    hit &= ~longer
+    return segment[hit], first[hit], most[hit]
 
 
 def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -168,26 +209,28 @@ def search_segments(dealt: DataFrame, window: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_shard(batches):
-            coded = rows.column("words").combine_chunks().dictionary_encode()
-            which = coded.indices.to_numpy()
+            rows = rows.combine_chunks()
+            coded = rows.column("words").chunk(0).dictionary_encode()
+            which, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
             place = rows.column("place").to_numpy()
-            least_place = np.full(len(coded.dictionary), LAST, np.int64)
-            np.minimum.at(least_place, which, place)
-            least, before = index_of(coded.dictionary.to_pylist(), least_place, window)
-            counts = np.diff(before)[which]
-            row = np.repeat(np.arange(len(which)), counts)
-            offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            hit = least[before[which][row] + offset] < place[row]
-            row, offset = row[hit], offset[hit]
-            start = rows.column("start").to_numpy()[row] + offset
-            new = np.append(True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)) if len(row) else np.zeros(0, bool)
-            head = np.flatnonzero(new)
-            tail = np.append(head[1:], len(row)) - 1 if len(head) else head
-            pick = pa.array(row[head])
-            columns = [rows.column("place").combine_chunks().take(pick), rows.column("tag").combine_chunks().take(pick), pa.array(start[head].astype(np.int32)), pa.array((start[tail] + window).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "tag", "start", "end"])
-
-    return dealt.mapInArrow(work, "place long, tag int, start int, end int")
+            least = np.full(len(distinct), LAST, np.int64)
+            np.minimum.at(least, which, place)
+            segment, first, last = earlier_runs(distinct, least, window)
+            held = np.searchsorted(segment, np.arange(len(distinct) + 1))
+            own = np.flatnonzero(place == least[which])
+            many = np.diff(held)[which[own]]
+            row = np.repeat(own, many)
+            run = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(held[which[own]], many)
+            whole = np.flatnonzero(place > least[which])
+            length = np.array([s.count(b" ") + 1 for s in distinct], np.int64)
+            pick = np.append(row, whole)
+            start = rows.column("start").to_numpy()[pick]
+            a, b = np.append(first[run], np.zeros(len(whole), np.int64)), np.append(last[run], length[which[whole]])
+            taken = rows.select(NAME).take(pa.array(pick))
+            columns = [*[taken.column(c).combine_chunks() for c in NAME], pa.array((start + a).astype(np.int32)), pa.array((start + b).astype(np.int32))]
+            yield from pa.Table.from_arrays(columns, [*NAME, "start", "end"]).to_batches()
+
+    return dealt.mapInArrow(work, f"{NAMES}, start int, end int")
 
 
 def search_windows(dealt: DataFrame, window: int) -> DataFrame:
@@ -195,8 +238,9 @@ def search_windows(dealt: DataFrame, window: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_shard(batches):
-            least, _ = index_of(rows.column("words").to_pylist(), rows.column("place").to_numpy(), window)
-            yield pa.RecordBatch.from_arrays([rows.column("words").combine_chunks(), pa.array(least)], ["words", "least"])
+            index, text, begin, length = index_of(rows.column("words").to_pylist())
+            least = RangeMinimum(np.repeat(rows.column("place").to_numpy(), length + 1)[index.order])
+            yield pa.RecordBatch.from_arrays([rows.column("words").combine_chunks(), pa.array(least(*index.matching(text, begin, window)))], ["words", "least"])
 
     return dealt.mapInArrow(work, "words binary, least long")
 
@@ -206,36 +250,37 @@ def dealt_by(df: DataFrame, key: str, shards: int) -> DataFrame:
     return df.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard")
 
 
-def with_place(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(LAST)).alias("place"), F.hash("text").alias("tag"), F.col("text").cast("string").alias("text"))
+def with_name(docs: DataFrame) -> DataFrame:
+    return named(docs.select("doc_id", F.col("text").cast("string").alias("text")))
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """Written; then the shuffles behind it are given up, so that their files go. The cleaner needs a second collection."""
-    out = written(df, name)
-    gc.collect()
-    for _ in range(2):
-        df.sparkSession.sparkContext._jvm.System.gc()
-        time.sleep(0.7)
+def repeated_segments(docs: DataFrame, window: int, run: int) -> DataFrame:
+    """Name, start, anchor and words of the segments whose anchor occurs in two documents."""
+    # the counts use every column, so that they and the join read one exchange and the texts are gone through once
+    found = find_anchors(docs, window, run).repartition("deal")
+    used = F.max(reduce(Column.bitwiseXOR, [F.col(c).cast("long") for c in (*NAME, "start", "windows", "anchor")]))
+    counted = found.groupBy("deal").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.bool_or("known").alias("sure"), used.alias("used"))
+    again = counted.filter("(first < last or sure) and used is not null").select("deal")
+    listed = found.join(again.hint("shuffle_hash"), "deal").filter("windows > 0")
+    listed = written(listed.groupBy(*NAME).agg(F.collect_set(F.struct("start", "windows", "anchor")).alias("segments")), "anchors")
+    out = written(cut_segments(docs.join(listed, NAME), window), "segments")
+    dropped(listed)
     return out
 
 
 def intervals(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """place, tag, start and end (exclusive) of words that a window covers which an earlier document holds; they may overlap."""
-    docs = with_place(docs).select("place", "tag", "text")
-    found = find_anchors(docs, window, run)
-    # the counts use every column, so that they and the join read one exchange and the texts are gone through once
-    found = found.repartition("anchor")
-    used = F.max(F.col("tag").cast("long") + F.col("start") + F.col("windows"))
-    counted = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("place").alias("low"), F.max("place").alias("high"), used.alias("used"))
-    again = counted.filter("low < high and used is not null").select("anchor", (F.col("n") > hot).alias("hot"))
-    listed = found.join(again.hint("shuffle_hash"), "anchor").groupBy("place", "tag").agg(F.collect_list(F.struct("start", "windows", "anchor", "hot")).alias("segments"))
-    listed = settled(listed, "anchors")
-    segments = settled(cut_segments(docs.join(listed, ["place", "tag"]), window), "segments")
+    """Name, start and end (exclusive) of runs of words that an earlier document holds; they may overlap."""
+    segments = repeated_segments(with_name(docs).select(*NAME, "text"), window, run)
     words = segments.agg(F.sum(F.octet_length("words")).alias("b")).first()["b"] or 0
     shards = max(1, words // (6 * SHARD_WORDS), docs.sparkSession.sparkContext.defaultParallelism if words > SHARD_WORDS else 1)
-    usual = search_segments(dealt_by(segments.filter("not hot"), "anchor", int(shards)), window)
-    crowded = segments.filter("hot")
+    crowds = written(segments.groupBy("anchor").count().filter(F.col("count") > hot).select(F.col("anchor").alias("crowd")), "crowds")
+    if not crowds.limit(1).count():
+        out = written(search_segments(dealt_by(segments, "anchor", int(shards)), window), "intervals")
+        dropped(segments, crowds)
+        return out
+    marked = lookup(segments, crowds, F.col("anchor") == F.col("crowd"))
+    usual = search_segments(dealt_by(marked.filter("crowd is null").drop("crowd"), "anchor", int(shards)), window)
+    crowded = marked.filter("crowd is not null").drop("crowd")
     cut = F.split(F.decode("words", "UTF-8"), " ")
     each = crowded.groupBy("words").agg(F.min("place").alias("place")).select(F.col("words").alias("segment"), "place", cut.alias("w"))
     offsets = F.sequence(F.lit(0), F.size("w") - window)
@@ -245,14 +290,16 @@ def intervals(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR, hot: int
     # a segment has fewer windows than a window has words, so what its first and last hit cover is one interval
     hits = F.transform(F.filter("answers", lambda x: x.getField("least") < F.col("place")), lambda x: x.getField("k"))
     held = crowded.join(answered, F.col("words") == F.col("segment")).withColumn("hits", hits).filter(F.size("hits") > 0)
-    held = held.select("place", "tag", (F.col("start") + F.array_min("hits")).alias("start"), (F.col("start") + F.array_max("hits") + window).alias("end"))
-    return settled(usual.unionByName(held), "intervals")
+    held = held.select(*NAME, (F.col("start") + F.array_min("hits")).alias("start"), (F.col("start") + F.array_max("hits") + window).alias("end"))
+    out = written(usual.unionByName(held), "intervals")
+    dropped(segments, crowds)
+    return out
 
 
 def removed(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, spans (start and end of removed words) and kept (the words that stay)."""
-    listed = intervals(docs, window, run, hot).groupBy("place", "tag").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
-    joined = with_place(docs).join(listed, ["place", "tag"], "left").select("doc_id", "text", "spans")
+    listed = intervals(docs, window, run, hot).groupBy(*NAME).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    joined = with_name(docs).join(listed, NAME, "left").select("doc_id", "text", "spans")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -285,3 +332,4 @@ def removed(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR, hot: int =
 def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = removed(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+settled = written

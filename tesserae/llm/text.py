@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
+#: Spark's setting by which a query's shuffle files go when the query ends.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+LAST = (1 << 63) - 1
 #: ASCII white space; everything else belongs to words. bytes.split() without arguments splits at the same bytes.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -48,34 +53,44 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 <
             yield batch.slice(start)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all machines share; a test session without one gets its own."""
-    import tempfile
-    import uuid
-
-    set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not set_to:
-        set_to = tempfile.mkdtemp(prefix="tesserae-")
-        spark.conf.set("spark.checkpoint.dir", set_to)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(set_to)
-    return f"{set_to.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str = "part") -> DataFrame:
-    """The rows as a table in the shared folder: cuts lineage, and survives the loss of executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}-{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """The rows as a table in the shared folder: cuts lineage, and survives the loss of executors.
 
-
-def power_of_two(n: float) -> int:
-    return 1 << max(0, math.ceil(math.log2(max(1, n))))
+    Spark removes the shuffle files behind the table as soon as it is written, as nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}-{name}"
+    before = spark.conf.get(REMOVE_SHUFFLES, "false")
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables of written(), once all that was made from them is written too."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """docs with place, tag and more, which name a row by its id and text: rows equal in all three are one document.
+
+    place orders documents; rows without an id come last. tag is a 64-bit hash of the text and tells rows of one id
+    apart; the rows without an id are as many as the table may have, so more adds 60 other bits for them.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    more = F.when(F.col("doc_id").isNull(), F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")).otherwise(F.lit(0).cast("long"))
+    return docs.withColumns({"place": F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long"), "tag": F.xxhash64(text), "more": more})
+
+
+NAME = ["place", "tag", "more"]
 
 
 def lookup(df: DataFrame, table: DataFrame, on: Column, most_rows: int = 100_000) -> DataFrame:

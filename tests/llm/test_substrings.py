@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tesserae.llm.fm_index import FMIndex, range_minimum
+from tesserae.llm.fm_index import FMIndex, RangeMinimum
 from tesserae.llm.substrings import removed
 
 from .brute import CLASHES, odd_rows, table, words
@@ -21,9 +21,10 @@ def test_index(n, sigma):
             want = [j for j in range(n - length) if (text[j : j + length] == text[i : i + length]).all()]
             assert sorted(index.order[low[i] : high[i]]) == want
         values = rnd.integers(0, 99, n)
-        assert (range_minimum(values, low, high) == [values[a:b].min() for a, b in zip(low, high)]).all()
+        assert (RangeMinimum(values)(low, high) == [values[a:b].min() for a, b in zip(low, high)]).all()
     query = np.append(rnd.integers(0, sigma, 200), text[: n // 2])
-    got = index.statistics(query, np.arange(len(query) + 1), 13)
+    ends = np.arange(len(query) + 1)
+    got = index.statistics(query, ends, np.minimum(ends, 13))
     held = {tuple(text[i : i + k].tolist()) for k in range(1, 14) for i in range(n - k + 1)}
     for end in range(len(query) + 1):
         want = 0
