@@ -7,34 +7,40 @@ CHUNKS * (ERRORS + 1) - 1 symbols have a chunk with at most ERRORS = 1 of them,
 each symbol that may be wrong, with that symbol left out. All pairs within that distance share a key. At a similarity of
 0.85 a symbol differs with probability 0.15, and more than 23 of 48 do for less than one pair in 10^8.
 
-Keys that one class has alone go. A group of many copies shares keys, and all of its pairs are never made. First each
-key gets a pivot, the class whose keys are the most shared; a class is compared with the pivot nearest by signature, and
-links that hold on the full sets give components. A key whose classes are in one component is done. The classes of the
-others are joined exactly, with prefix and position filters over their shingles; the pairs across components that these
-leave are verified on the full sets. So no pair that shares a key is left undecided, and the components are those of all
-links.
+Keys that one class has alone go. A group of many copies shares keys, and all of its pairs are never made. In turns each
+key gets a pivot among its classes, and each class is compared with the nearest by signature of the pivots that it meets
+and that are of another component; links that hold on the full sets put components together. A key whose classes are in
+one component is done. Once a turn leaves most components apart, the classes of the keys that are left are joined
+exactly, with prefix and position filters over their shingles, and the pairs across components that pass are verified
+on the full sets. So no pair that shares a key is left undecided, the components are those of all links, and the edges
+are few for each class, however many links a group has.
 
 Null, empty: no shingles, linked with nothing. Rows without an id join no group: component_id is null, kept true. Rows
 with one id and different texts are linked like any others. Repeated rows fall into one class. An empty table gives no
 rows. component_id is the least doc_id of the component, so ties don't arise.
+Very long texts are whole sets, cut into no parts; a batch holds one of them at a time. Columns besides doc_id and text
+are not looked at, whatever their names; representatives() returns them unchanged.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .substrings import Hashes, settled
-from .text import documents, slices, written
+from .substrings import Hashes
+from .text import documents, dropped, slices, written
 
 SYMBOLS, BITS, CHUNKS, ERRORS = 48, 16, 12, 1
 WIDTH = SYMBOLS // CHUNKS
 FARTHEST = CHUNKS * (ERRORS + 1) - 1
+#: Pivots get another turn while it leaves at most this share of the components that share keys.
+MERGED = 0.8
 #: Bits that bound the difference of two sets from below.
 PARITY = 1024
 
@@ -138,50 +144,59 @@ def keyed(classes: DataFrame) -> DataFrame:
 
 
 def with_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the distance of their signatures, up to FARTHEST."""
+    """Pairs (a, b, p, q) with the distance of their signatures, up to FARTHEST."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for c in ("x", "y"))
             far = (x != y).sum(axis=1).astype(np.int32)
             ok = far <= FARTHEST
-            yield pa.RecordBatch.from_arrays([pa.array(b.column("a").to_numpy()[ok]), pa.array(b.column("b").to_numpy()[ok]), pa.array(far[ok])], ["a", "b", "far"])
+            near = b.select(["a", "b", "p", "q"]).filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays([*near.columns, pa.array(far[ok])], ["a", "b", "p", "q", "far"])
 
     x = classes.select(F.col("c").alias("a"), F.col("signature").alias("x"))
     y = classes.select(F.col("c").alias("b"), F.col("signature").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(work, "a long, b long, far int")
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "p", "q", "x", "y").mapInArrow(work, "a long, b long, p long, q long, far int")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+    """The pairs (a, b, p, q) whose sets reach the similarity."""
     x = sets.select(F.col("c").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("c").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.select("a", "b").join(x, "a").join(y, "b")
-    both = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("same"), (F.size("x") + F.size("y")).cast("long").alias("all"))
-    return both.filter(100 * F.col("same") >= percent * (F.col("all") - F.col("same"))).select("a", "b")
+    both = pairs.join(x, "a").join(y, "b")
+    both = both.select("a", "b", "p", "q", F.size(F.array_intersect("x", "y")).cast("long").alias("same"), (F.size("x") + F.size("y")).cast("long").alias("all"))
+    return both.filter(100 * F.col("same") >= percent * (F.col("all") - F.col("same"))).select("a", "b", "p", "q")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and comp, the least node that it reaches, for the nodes of edges (a, b): least labels of neighbours and
-    pointer jumping, until nothing changes."""
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp")), "labels")
-    while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
-        old = labels.select("node", F.col("comp").alias("old"))
-        step = old.join(near, old["node"] == near["a"]).select("node", "old", F.least("old", "near").alias("via"))
-        over = labels.select(F.col("node").alias("via"), F.col("comp").alias("far"))
-        step = written(step.join(over, "via").select("node", "old", F.least("via", "far").alias("comp")), "labels")
-        changed = step.filter("comp < old").limit(1).count()
-        labels = step.select("node", "comp")
-        if not changed:
-            return labels
-
-
-def joined_components(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """rows with comp, their component by the edges so far; alone without edges."""
-    found = components(edges)
-    return rows.join(found, rows["c"] == found["node"], "left").drop("node").withColumn("comp", F.coalesce("comp", "c"))
+    """node and comp, the least node that it reaches, for the nodes of edges (a, b), by contraction.
+
+    In each round every node takes the name whose hash is the least within two steps; the hash differs by round. Edges
+    within a name go, and equal ones become one, so that each round leaves a fraction of the names, hubs or not.
+    """
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).filter("a != b").distinct(), "edges")
+    names, turn = written(both.select(F.col("a").alias("node"), F.col("a").alias("name")).distinct(), "names"), 0
+    while both.limit(1).count():
+        turn += 1
+        mark = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), F.col(c).alias("to"))  # noqa: E731, B023
+        one = both.groupBy("a").agg(F.least(mark("a"), F.min(mark("b"))).alias("one"))
+        near = both.join(one.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("one").alias("two")).select("a", F.col("two.to").alias("to"))
+        near = written(near, "near")
+        left = both.join(near, "a").select(F.col("to").alias("x"), "b").join(near.withColumnsRenamed({"a": "b", "to": "y"}), "b")
+        fewer = written(left.filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        renamed = written(renamed_by(names, "name", near.withColumnsRenamed({"a": "node", "to": "comp"})), "names")
+        dropped(both, near, names)
+        both, names = fewer, renamed
+    dropped(both)
+    low = names.groupBy("name").agg(F.min("node").alias("comp"))
+    return names.join(low, "name").select("node", "comp")
+
+
+def renamed_by(rows: DataFrame, column: str, names: DataFrame) -> DataFrame:
+    """rows with the values of `column` that stand as node in names replaced by their comp."""
+    to = names.select(F.col("node").alias("_node"), F.col("comp").alias("_comp"))
+    joined = rows.join(to, rows[column] == to["_node"], "left")
+    return joined.select(*[F.coalesce("_comp", c).alias(c) if c == column else c for c in rows.columns])
 
 
 def mixed_keys(rows: DataFrame) -> DataFrame:
@@ -202,31 +217,63 @@ def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> D
     texts = docs.select(F.col("doc_id").cast("long").alias("low"), "text").join(need.select("low").distinct(), "low", "left_semi")
     shingled = with_shingles(texts, k)
     # a set is one class; the join has dealt the rows by it
-    return settled(shingled.join(need.select("c", "set"), "set").dropDuplicates(["set"]).select("c", "shingles", "bits"), "sets")
+    out = written(shingled.join(need.select("c", "set"), "set").dropDuplicates(["set"]).select("c", "shingles", "bits"), "sets")
+    dropped(need)
+    return out
 
 
-def links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """Edges (a, b) that give the components of all links between classes; None without any."""
+def nearest_pivots(rows: DataFrame, classes: DataFrame, turn: int, tested: DataFrame | None) -> DataFrame:
+    """Pairs (a, b) to compare, of components p and q: each class of rows (key, c, many, comp) with one pivot at most, the
+    nearest by signature.
+
+    Every key has one pivot: the class whose keys are the most shared, in later turns any by its hash. Classes of the
+    pivot's component and pairs that were compared before are left out, so there are no more pairs than rows.
+    """
+    if turn:
+        pivot = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "key", "c").alias("h"), "c", "comp")).alias("top"))
+    else:
+        weight = rows.groupBy("c").agg(F.sum("many").alias("weight"))
+        pivot = rows.join(weight, "c").groupBy("key").agg(F.max(F.struct("weight", "c", "comp")).alias("top"))
+    pivot = pivot.select("key", F.col("top.c").alias("b"), F.col("top.comp").alias("q"))
+    star = rows.join(pivot, "key").filter("comp != q").select(F.col("c").alias("a"), "b", F.col("comp").alias("p"), "q").distinct()
+    if tested is not None:
+        star = star.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    return with_distance(star, classes).groupBy("a").agg(F.min(F.struct("far", "b", "p", "q")).alias("near")).select("a", "near.b", "near.p", "near.q")
+
+
+def placed(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """c and comp of the classes that share a key with others: the components of all links between classes."""
     keys = keyed(classes)
     shared = keys.groupBy("key").agg(F.count("*").alias("many")).filter("many > 1")
-    rows = settled(keys.join(shared, "key"), "keys")
-    # pivots: the class whose keys are the most shared
-    weight = rows.groupBy("c").agg(F.sum("many").alias("weight"))
-    weighed = rows.select("key", "c").join(weight, "c")
-    pivot = weighed.groupBy("key").agg(F.max(F.struct("weight", "c")).alias("top")).select("key", F.col("top.c").alias("b"))
-    star = rows.join(pivot, "key").filter("c != b").select(F.col("c").alias("a"), "b").distinct()
-    near = with_distance(star, classes).groupBy("a").agg(F.min(F.struct("far", "b")).alias("near")).select("a", F.col("near.b").alias("b"))
-    near = settled(near, "stars")
-    sets = sets_of(docs, classes, rows.select("c").distinct(), k)
-    first = settled(linked(near, sets, percent), "links")
-    rows = written(mixed_keys(joined_components(rows.select("key", "c"), first)), "mixed")
-    if not rows.limit(1).count():
-        return first
-    return first.union(settled(linked(settled(crossing_pairs(rows, sets, percent), "pairs"), sets, percent), "links"))
+    rows = written(keys.join(shared, "key").withColumn("comp", F.col("c")), "keys")
+    out = written(rows.select("c", "comp").distinct(), "placed")
+    sets = sets_of(docs, classes, out, k)
+    tested: list[DataFrame] = []
+    before = None
+    while number := rows.agg(F.count_distinct("comp")).first()[0]:
+        # if a turn leaves most components apart, what is open is settled at once
+        last = before is not None and number > before * MERGED
+        if last:
+            pairs = written(crossing_pairs(rows, sets, percent), "pairs")
+        else:
+            pairs = written(nearest_pivots(rows, classes, len(tested), reduce(DataFrame.union, tested) if tested else None), "stars")
+        found = linked(pairs, sets, percent).select(F.col("p").alias("a"), F.col("q").alias("b"))
+        names = written(components(found), "components")
+        moved = written(renamed_by(out, "comp", names), "placed")
+        dropped(out)
+        out, before = moved, number
+        tested.append(pairs)
+        if last:
+            break
+        fewer = written(mixed_keys(renamed_by(rows, "comp", names)), "mixed")
+        dropped(rows, names)
+        rows = fewer
+    dropped(rows, sets, *tested)
+    return out
 
 
 def crossing_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components among the classes of rows that may reach the similarity.
+    """Pairs (a, b) of different components p and q among the classes of rows that may reach the similarity.
 
     An exact set-similarity join: shingles stand in one order, rarest first by the classes in question. Sets that reach
     the similarity share a shingle of their prefixes; where the first that they share stands bounds their overlap, as
@@ -240,7 +287,7 @@ def crossing_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ordered = each.join(held, "shingle").groupBy("c", "comp", "n").agg(order.alias("order"))
     prefix = F.slice("order", 1, F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
     posted = ordered.select("c", "comp", "n", F.posexplode(prefix).alias("at", "one")).filter("one.many > 1")
-    posted = settled(posted.select("c", "comp", "n", "at", F.col("one.shingle").alias("shingle")), "posted")
+    posted = written(posted.select("c", "comp", "n", "at", F.col("one.shingle").alias("shingle")), "posted")
     bits = sets.select("c", *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(PARITY // 64)])
     posted = posted.join(bits, "c")
     x, y = (posted.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in posted.columns if c != "shingle"]) for side in "xy")
@@ -249,16 +296,17 @@ def crossing_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     differ = sum((F.bit_count(F.col(f"b{i}_x").bitwiseXOR(F.col(f"b{i}_y"))) for i in range(PARITY // 64)), F.lit(0))
     near = (100 + percent) * differ <= (100 - percent) * (F.col("n_x") + F.col("n_y"))
     met = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("c_x") < F.col("c_y")) & (F.col("comp_x") != F.col("comp_y")) & enough & near)
-    return met.select(F.col("c_x").alias("a"), F.col("c_y").alias("b")).distinct()
+    p, q = F.least("comp_x", "comp_y").alias("p"), F.greatest("comp_x", "comp_y").alias("q")
+    return met.select(F.col("c_x").alias("a"), F.col("c_y").alias("b"), p, q).distinct()
 
 
 def components_by_set(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The sketches of docs, and set with component_id."""
     sketches = written(sketched(docs, words), "sketches")
     classes = classes_of(sketches)
-    placed = joined_components(classes.select("set", "c", "low"), links(docs, classes, words, percent))
-    names = placed.groupBy("comp").agg(F.min("low").alias("component_id"))
-    return sketches, placed.join(names, "comp").select("set", "component_id")
+    found = classes.select("set", "c", "low").join(placed(docs, classes, words, percent), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
+    names = found.groupBy("comp").agg(F.min("low").alias("component_id"))
+    return sketches, found.join(names, "comp").select("set", "component_id")
 
 
 def grouped(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -275,15 +323,14 @@ def representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Of rows that repeat one id, one with each text stays.
     """
     out = grouped(docs, words, percent)
-    gone = written(out.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    rows = docs.select(F.struct("*").alias("row"))
-    stay = rows.join(gone, F.col("row.doc_id").cast("long") == F.col("gone_id"), "left_anti").select("row.*")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("gone_id"))
-    repeated = written(repeated, "repeated")
+    gone = written(out.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.struct("*").alias("row"))
+    stay = rows.join(gone, "doc_id", "left_anti")
+    repeated = written(docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated")
     if not repeated.limit(1).count():
-        return stay
-    once = stay.join(repeated, F.col("doc_id") == F.col("gone_id"), "left_anti")
-    return once.unionByName(stay.join(repeated, F.col("doc_id") == F.col("gone_id"), "left_semi").dropDuplicates(["doc_id", "text"]))
+        return stay.select("row.*")
+    once = stay.join(repeated, "doc_id", "left_anti")
+    return once.unionByName(stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select("row.*")
 
 
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:

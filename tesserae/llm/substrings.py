@@ -332,4 +332,3 @@ def removed(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR, hot: int =
 def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = removed(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-settled = written

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from tesserae.llm import near_dups
 from tesserae.llm.near_dups import CHUNKS, FARTHEST, SYMBOLS, grouped, lookup_keys
 
 from .brute import CLASHES, odd_rows, table
@@ -87,3 +88,25 @@ def test_repeated_rows_of_loose_groups(spark):
     rows = near_rows(2, 20, 40)
     got = grouped(table(spark, [r for r in rows for _ in range(3)]), 3, 85).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, 3 * brute(rows, 3, 85)))
+
+
+@pytest.mark.parametrize("copies", [150, 450])
+def test_few_edges(spark, copies, monkeypatch):
+    """A group of loose copies is put together by a few pairs for each copy, not by all of its links."""
+    rnd, rows = random.Random(copies), []
+    base = [f"w{rnd.randrange(400)}" for _ in range(120)]
+    for i in range(copies):
+        t = list(base)
+        for _ in range(rnd.randint(0, 7)):
+            t[rnd.randrange(len(t))] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(t), "a"))
+    edges, inner = [], near_dups.components
+
+    def counted(pairs):
+        edges.append(pairs.count())
+        return inner(pairs)
+
+    monkeypatch.setattr(near_dups, "components", counted)
+    got = grouped(table(spark, rows), 3, 85).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(rows, 3, 85)))
+    assert sum(edges) <= 3 * copies
