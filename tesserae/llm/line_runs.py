@@ -1,39 +1,45 @@
 """Line dedup: a suffix array over sequences of line ids, by distributed prefix doubling. DataFrame functions only.
 
-A document is the sequence of its lines that hold a word; a line's id is a 64-bit hash. Suffixes get the rank of their
+A document is the sequence of its lines that hold a word; a line's id is a 128-bit hash. Suffixes get the rank of their
 first line, then of their first two, four, ... lines: the rank of 2k lines at a place is that of the pair of ranks of k
 lines there and k lines further on. Ranks follow the order of the pairs: distinct pairs are partitioned by range and
 sorted, and numbered by partition and place. Suffixes that stand alone in their rank have left the array, since no
-longer run of theirs repeats either; so do pairs that reach beyond a document's end. Suffixes of one rank at depth d are
-an interval of the suffix array with a longest common prefix of d lines or more. The intervals at depth `min_lines`
-(from two overlapping powers of two, if it is none) hold every repeated run of that many lines: the union of their
-windows is the union of all maximal runs, so deeper ranks would name the same lines. A line of `min_words` words or
-more counts as a run by itself, and with `pair_words` so do two lines that hold so many together. Each run stays where it occurs first, by doc_id and place in the document; its later
-copies are deleted.
+longer run of theirs repeats either; so do pairs that reach beyond a document's end. Doubling goes on until no run
+repeats, so the ranks hold every common prefix.
+
+Suffixes of one rank at depth `min_lines` (from two overlapping powers of two, if it is none) are an interval of the
+suffix array; all but its first by doc_id and place start a later copy. Where the suffix before starts the same copy one
+line earlier, it is part of that one; the others are heads. A head's longest common prefix with the first of its interval
+is read from the ranks, from the deepest down: where the ranks of both agree, that many lines are common, and the rest is
+compared behind them. A head and its prefix are a maximal repeated run. A line of `min_words` words or more counts as a
+run by itself, and with `pair_words` so do two lines that hold so many together. Each run stays where it occurs first;
+its later copies are deleted.
 
 Null or empty texts have no lines. Lines without a word are kept. Rows without an id come after all others, ordered by a
-hash of the text. Rows equal in id and text are one document and give equal results. An empty table gives no rows.
+hash of the text. Rows equal in id and text are one document and give equal results. A very long text is as many rows as
+it has lines. An empty table gives no rows. Columns besides doc_id and text are kept, whatever their names, but for
+n_lines and n_deleted, which deduplicated() makes.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import SPACES, documents, written
+from .text import NAME, SPACES, documents, dropped, named, written
 
 MIN_LINES, MIN_WORDS = 3, 30
 #: Words of two lines, for callers that take these as a run; OP10_SQL does not.
 PAIR_WORDS = 51
-LAST = (1 << 63) - 1
+AT = [*NAME, "i"]
 WORD = r"[^\x20\x09-\x0D]"
 
 
 def first_and_last(df: DataFrame, *keys: str) -> DataFrame:
     """Per key the first and the last place; a key with one place can't repeat. Partial sums make hot keys small."""
-    at = F.struct("place", "tag", "i")
+    at = F.struct(*AT)
     return df.groupBy(*keys).agg(F.min(at).alias("first"), F.max(at).alias("last")).filter("first != last")
 
 
@@ -45,40 +51,85 @@ def ranked(groups: DataFrame, *keys: str) -> DataFrame:
 def numbered(rows: DataFrame, *keys: str, depth: int) -> DataFrame:
     """The rows whose keys repeat, with their rank and the first place of it."""
     ranks = written(ranked(first_and_last(rows, *keys), *keys), f"ranks-{depth}")
-    return written(rows.join(ranks, [*keys]).drop(*keys), f"suffixes-{depth}")
+    out = written(rows.join(ranks, [*keys]).drop(*keys), f"suffixes-{depth}")
+    dropped(ranks)
+    return out
 
 
 def shifted(suffixes: DataFrame, by: int) -> DataFrame:
     """Each suffix's rank beside that of the suffix `by` lines further on, where there is one, and the words of both."""
-    on = suffixes.select("place", "tag", (F.col("i") - by).cast("int").alias("i"), F.col("rank").alias("right"), F.col("words").alias("more"))
-    both = suffixes.select("place", "tag", "i", F.col("rank").alias("left"), "words").join(on, ["place", "tag", "i"])
-    return both.withColumn("words", F.col("words") + F.col("more")).drop("more")
+    on = suffixes.select(*NAME, (F.col("i") - by).cast("int").alias("i"), F.col("rank").alias("right"), F.col("words").alias("more_words"))
+    both = suffixes.select(*AT, F.col("rank").alias("left"), "words").join(on, AT)
+    return both.withColumn("words", F.col("words") + F.col("more_words")).drop("more_words")
 
 
-def at_place(docs: DataFrame, text: Column) -> DataFrame:
-    return docs.withColumn("place", F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long")).withColumn("tag", F.xxhash64(text))
+def suffix_ranks(docs: DataFrame) -> dict[int, DataFrame]:
+    """Tables by depth 1, 2, 4, ...: place and number of each suffix whose first `depth` lines repeat, words of these, rank and
+    first, where they occur first. The last of them is empty."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    full = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    lines = named(docs.select("doc_id", "text")).select(*NAME, F.posexplode(full).alias("i", "line"))
+    words = F.size(F.split(F.trim(F.regexp_replace("line", SPACES, " ")), " "))
+    lines = lines.select(*AT, F.unhex(F.md5("line")).alias("id"), words.alias("words"))
+    one = numbered(lines, "id", depth=1)
+    depth, out = 1, {1: written(one.dropDuplicates(AT), "suffixes")}
+    dropped(one)
+    while out[depth].limit(1).count():
+        out[2 * depth] = numbered(shifted(out[depth], depth), "left", "right", depth=2 * depth)
+        depth *= 2
+    return out
+
+
+def heads(copies: DataFrame) -> DataFrame:
+    """Of the suffixes that start later copies those that don't continue the copy of the suffix before, with that copy's place."""
+    before = Window.partitionBy(*NAME).orderBy("i")  # one document
+    source = [F.col(f"first.{c}") for c in NAME]
+    same = F.lag(F.struct(*source)).over(before) == F.struct(*source)
+    next_to = (F.lag("i").over(before) == F.col("i") - 1) & (F.lag("first.i").over(before) == F.col("first.i") - 1)
+    marked = copies.withColumn("inner", F.coalesce(same & next_to, F.lit(False)))
+    return marked.filter(~F.col("inner")).select(*AT, "first")
+
+
+def common_prefixes(pairs: DataFrame, ranks: dict[int, DataFrame]) -> DataFrame:
+    """place, i and lcp: how many lines each head has in common with its first copy, read from the ranks, deepest first."""
+    out = pairs.select(*AT, *[F.col(f"first.{c}").alias(f"from_{c}") for c in AT], F.lit(0).alias("lcp"))
+    for depth, table in sorted(ranks.items(), reverse=True):
+        rank = lambda side: table.select(*[F.col(c).alias(f"{side}{c}") for c in AT], F.col("rank").alias(f"{side}rank"))  # noqa: E731, B023
+        here, there = rank("x_"), rank("y_")
+        met = out.join(here, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"x_{c}") for c in NAME]) & (F.col("i") + F.col("lcp") == F.col("x_i")), "left")
+        met = met.join(there, reduce(lambda a, b: a & b, [F.col(f"from_{c}") == F.col(f"y_{c}") for c in NAME]) & (F.col("from_i") + F.col("lcp") == F.col("y_i")), "left")
+        more = F.when(F.col("x_rank") == F.col("y_rank"), depth).otherwise(0)
+        out = written(met.withColumn("lcp", F.col("lcp") + more).select(out.columns), f"prefixes-{depth}")
+    return out
+
+
+def runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, pair_words: int | None = None) -> DataFrame:
+    """Name, i and lines: the maximal runs of lines, by their number among the lines with a word, that are later copies. Long
+    lines and pairs that are runs by themselves stand beside those that hold them."""
+    ranks = suffix_ranks(docs)
+    later = F.col("first") != F.struct(*AT)
+    out = [ranks[1].filter(later & (F.col("words") >= min_words)).select(*AT, F.lit(1).alias("lines"))]
+    if pair_words is not None and 2 in ranks:
+        out.append(ranks[2].filter(later & (F.col("words") >= pair_words)).select(*AT, F.lit(2).alias("lines")))
+    power = 1 << (min_lines.bit_length() - 1)
+    if power in ranks:
+        exact = ranks[power] if power == min_lines else numbered(shifted(ranks[power], min_lines - power), "left", "right", depth=min_lines)
+        found = written(heads(exact.filter(later)), "heads")
+        out.append(common_prefixes(found, ranks).select(*AT, F.col("lcp").alias("lines")))
+    out = written(reduce(DataFrame.unionByName, out), "runs")
+    dropped(*ranks.values())
+    return out
 
 
 def deletions(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, pair_words: int | None = None) -> DataFrame:
-    """place, tag and gone: per document that loses lines, the sorted numbers of these among its lines with a word."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    full = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    lines = at_place(docs.select("doc_id", "text"), F.col("text")).select("place", "tag", F.posexplode(full).alias("i", "line"))
-    lines = lines.select("place", "tag", "i", F.xxhash64("line").alias("id"), F.size(F.split(F.trim(F.regexp_replace("line", SPACES, " ")), " ")).alias("words"))
-    one = numbered(lines, "id", depth=1).dropDuplicates(["place", "tag", "i"])
-    later = F.col("first") != F.struct("place", "tag", "i")
-    gone = [one.filter(later & (F.col("words") >= min_words)).select("place", "tag", "i")]
-    depth, suffixes = 1, one
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)
-        suffixes = numbered(shifted(suffixes, step), "left", "right", depth=depth + step)
-        depth += step
-        if depth == 2 and pair_words is not None:
-            pairs = suffixes.filter(later & (F.col("words") >= pair_words))
-            gone.append(pairs.select("place", "tag", F.explode(F.array("i", (F.col("i") + 1).cast("int"))).alias("i")))
-    runs = suffixes.filter(later)
-    gone.append(runs.select("place", "tag", F.explode(F.sequence(F.col("i"), F.col("i") + min_lines - 1)).alias("i")))
-    return reduce(DataFrame.unionByName, gone).groupBy("place", "tag").agg(F.array_sort(F.collect_set("i")).alias("gone"))
+    """Name and gone: per document that loses lines, the sorted numbers of these among its lines with a word."""
+    inside = Window.partitionBy(*NAME).orderBy("i", "lines")  # one document
+    ends = runs(docs, min_lines, min_words, pair_words).withColumn("end", F.col("i") + F.col("lines"))
+    # what runs before have covered is left out, so that runs that overlap name each line once
+    ends = ends.withColumn("covered", F.max("end").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    ends = ends.withColumn("from", F.greatest("i", "covered")).filter(F.col("from") < F.col("end"))
+    each = ends.select(*NAME, F.explode(F.sequence(F.col("from"), F.col("end") - 1)).alias("i"))
+    return each.groupBy(*NAME).agg(F.array_sort(F.collect_list("i")).alias("gone"))
 
 
 def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, pair_words: int | None = None) -> DataFrame:
@@ -88,8 +139,8 @@ def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = M
     """
     listed = deletions(docs, min_lines, min_words, pair_words)
     rows = docs.drop("n_lines", "n_deleted").select(F.struct("*").alias("row"))
-    rows = rows.select("row", F.coalesce(F.col("row.doc_id"), F.lit(LAST)).cast("long").alias("place"), F.xxhash64("row.text").alias("tag"))
-    joined = rows.join(listed, ["place", "tag"], "left").select("row", "gone", F.split(F.coalesce(F.col("row.text").cast("string"), F.lit("")), "\n").alias("lines"))
+    rows = named(rows.select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))).drop("doc_id", "text")
+    joined = rows.join(listed, NAME, "left").select("row", "gone", F.split(F.coalesce(F.col("row.text").cast("string"), F.lit("")), "\n").alias("lines"))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
     cut = joined.select("row", "gone", "lines", F.filter(every, lambda k: F.get(F.col("lines"), k).rlike(WORD)).alias("full"))
     out = F.transform("gone", lambda i: F.get(F.col("full"), i))

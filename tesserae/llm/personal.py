@@ -7,8 +7,9 @@ Decisions of overlapping windows are reconciled for the whole text: each charact
 it stands nearest to the middle; runs of one tag are spans. A span of the model counts if it is LEAST characters long or
 more after trimming, has a digit or an @, and overlaps no span of the patterns. Those tagged as card must pass Luhn.
 
-Every pattern runs in linear time on any text. Null counts as empty: no spans. Rows are independent, so repeated rows
-and ties need no rule. An empty table gives no rows. Positions are code points, ends exclusive.
+Every pattern runs in linear time on any text, and very long texts are decoded in parts of some hundred windows. Null counts as empty: no spans. Rows are independent, so repeated rows
+and ties need no rule. An empty table gives no rows. Positions are code points, ends exclusive. Columns besides doc_id
+and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         if start < m.start():
             out.append(("email", start, m.end()))
             last = m.end()
-    out += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(len(q := p.lstrip("0")) <= 3 and int(q or "0") <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 16 <= len(digits) <= 19 and luhn(digits):
@@ -332,4 +333,5 @@ def scanned(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
 def op9_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s.getField("kind"), s.getField("start"), s.getField("end"))), ",")
     count = lambda k: F.size(F.filter("base", lambda s: s.getField("kind") == k)).cast("long").alias(f"n_{k}")
-    return scanned(documents(spark, sf_dir)).select("doc_id", *map(count, KINDS), F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+    secrets = F.size(F.filter("spans", lambda s: s.getField("kind") == "secret")).cast("long").alias("n_secret")
+    return scanned(documents(spark, sf_dir)).select("doc_id", *map(count, KINDS), F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"), secrets)

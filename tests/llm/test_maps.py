@@ -90,9 +90,43 @@ def test_wrapped_licenses(spark):
     assert got[900] == ["apache-2.0"]
 
 
+def sound_of(payload):
+    """The features of a mu-law payload, sample by sample."""
+    table = [int(x) for x in media.mulaw_table()]
+    sound = [table[b] for b in payload]
+    wide = [x for i, s in enumerate(sound) for x in (s, (s + sound[i + 1]) >> 1 if i + 1 < len(sound) else s)]
+    pack = lambda xs: b"".join(x.to_bytes(2, "little", signed=True) for x in xs)
+    turns = sum((a < 0) != (b < 0) for a, b in zip(wide, wide[1:]))
+    out = [f"pcm:rate=16000,samples={len(wide)},peak={max(map(abs, wide))},power={sum(x * x for x in wide) // len(wide)},turns={turns},crc={zlib.crc32(pack(wide))}"]
+    values = sorted({int(x) for x in media.alaw_table()})
+    near = [min(values, key=lambda v: (abs(v - s), v)) for s in sound]
+    far = lambda again: sum(abs(a - b) for a, b in zip(sound, again)) // len(sound)
+    out.append(f"alaw:error={far(near)},crc={zlib.crc32(pack(near))}")
+    steps, again = media.STEPS.tolist(), []
+    for at in range(0, len(sound), 121):
+        part = sound[at : at + 121]
+        part += [part[-1]] * (121 - len(part))
+        value = part[0]
+        index = next((i for i, s in enumerate(steps) if s >= abs(part[1] - value)), 88)
+        again.append(value)
+        for want in part[1:]:
+            step, off = steps[index], want - value
+            left, code, size = abs(off), 0, step >> 3
+            for bit in (4, 2, 1):
+                if left >= step:
+                    code, left, size = code | bit, left - step, size + step
+                step >>= 1
+            value = max(-32768, min(32767, value - size if off < 0 else value + size))
+            index = max(0, min(88, index + [-1, -1, -1, -1, 2, 4, 6, 8][code]))
+            again.append(value)
+    out.append(f"adpcm:error={far(again)},crc={zlib.crc32(pack(again))}")
+    return ";".join(out)
+
+
 def test_media(spark):
     rows = odd_rows()
-    got = media.described(media.stored(table(spark, rows, CLASHES))).collect()
+    files = media.rendered(media.stored(table(spark, rows, CLASHES)), ("alaw", "adpcm", "pcm"))
+    got = media.described(files).collect()
     assert len(got) == len(rows)
     for r, (i, t, _) in zip(got, rows):
         raw = (t or "").encode()
@@ -101,10 +135,10 @@ def test_media(spark):
         assert r.payload_sha256 == hashlib.sha256(padded).hexdigest() and r.tail_crc32 == zlib.crc32(padded[-64:])
         stored = media.wav(padded)
         assert r.media_bytes == len(stored) and r.media_sha256 == hashlib.sha256(stored).hexdigest()
-    again = {r.media_sha256: r.feature for r in got}
-    assert all(again[r.media_sha256] == r.feature for r in got)
+        assert r.feature == sound_of(padded)
+    assert media.described(media.rendered(media.stored(table(spark, [])), ("alaw", "adpcm", "pcm"))).count() == 0
     for tag in (media.MULAW, media.ALAW, media.ADPCM):
-        out = media.resampled(media.stored(table(spark, rows[:12]), tag)).collect()
+        out = media.rendered(media.stored(table(spark, rows[:12]), tag)).collect()
         for r in out:
             kind, rate, samples = media.unwav(bytes(r.media))
             pcm_kind, pcm_rate, pcm = media.unwav(bytes(r.pcm))
@@ -112,6 +146,20 @@ def test_media(spark):
             assert np.array_equal(np.frombuffer(pcm, "<i2")[::2], media.expanded(tag, samples))
 
 
+def test_bad_media(spark):
+    """No sound, no row less: broken files give nulls, also beside good ones, and other columns stay as they are."""
+    good = media.wav(b"abc")
+    files = [None, b"", b"RIFF", good[:20], good[:-1], media.wav(b"", media.ADPCM), media.wav(b"x" * 100, 99), media.wav(b""), good, media.wav(b"q" * 100, media.ADPCM)]
+    rows = spark.createDataFrame([(i, 0, f, "clash") for i, f in enumerate(files)], "doc_id long, n_bytes long, media binary, pcm string")
+    out = media.rendered(rows.withColumnRenamed("pcm", "a b"), ("alaw", "adpcm", "pcm"))
+    assert [r["a b"] for r in out.collect()] == ["clash"] * len(files)
+    pcm = {r.doc_id: r.pcm for r in media.rendered(rows).collect()}
+    assert [i for i, x in pcm.items() if x is None] == [0, 1, 2, 3, 4, 6]
+    got = {r.doc_id: r for r in media.described(out).collect()}
+    assert [i for i, r in got.items() if r.feature is None] == [0, 1, 2, 3, 4, 6]
+    assert got[7].payload_bytes == 0 and got[8].payload_bytes == 3 and got[9].payload_bytes == 100 and got[1].media_bytes == 0
+
+
 def test_sound():
     # reference values of the companding laws
     u, a = media.mulaw_table(), media.alaw_table()
