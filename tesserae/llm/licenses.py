@@ -11,7 +11,8 @@ A notice may be wrapped, so a run of as many consecutive words as the template h
 line's end. Such runs are looked at around each word of a template's prefix alone, as no other can meet it.
 
 Null or empty texts have no blocks. Rows with the same id and text get the same labels. Rows without an id are scanned
-too. An empty table gives no rows.
+too. An empty table gives no rows. Very long texts are as many blocks as they have lines, and as many places of phrases.
+Columns besides doc_id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ source (at most MOST_BINS rows), and only the bin in which a source's rest ends
 
 Null or empty texts have no words; nothing is taken from them. Rows without a source form a source of their own, last
 in order. Rows without an id share one u. Equal keys are ordered by id, then by a hash of the text, so that only rows
-equal in both stand in any order. Repeated rows count as often as they occur. An empty table gives no rows.
+equal in both stand in any order. Repeated rows count as often as they occur. A very long text is taken whole or not at
+all. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .substrings import Hashes
+from .substrings import hashes_of
 from .text import documents, dropped, slices, written
 
 SYMBOLS, BITS, CHUNKS, ERRORS = 48, 16, 12, 1
@@ -60,9 +60,9 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return np.unique(h)
 
 
-def text_shingles(text: str | None, k: int, known: Hashes) -> np.ndarray:
+def text_shingles(text: str | None, k: int) -> np.ndarray:
     words = (text or "").encode().lower().split()  # of bytes, lower() changes A-Z only
-    return shingle_hashes(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), k)
+    return shingle_hashes(hashes_of(words, len(words)), k)
 
 
 def multipliers() -> tuple[np.ndarray, np.ndarray]:
@@ -90,9 +90,8 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n, set (a 128-bit name of the set) and signature; the latter two null for empty sets."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for b in slices(batches, "text"):
-            sets = [text_shingles(t, k, known) for t in b.column("text").to_pylist()]
+            sets = [text_shingles(t, k) for t in b.column("text").to_pylist()]
             full = [s for s in sets if len(s)]
             rows = iter(signatures(full) if full else ())
             sig = [next(rows).tobytes() if len(s) else None for s in sets]
@@ -112,9 +111,8 @@ def with_shingles(docs: DataFrame, k: int) -> DataFrame:
     """set, shingles and parity bits of every text that has any."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for b in slices(batches, "text"):
-            sets = [s for t in b.column("text").to_pylist() if len(s := text_shingles(t, k, known))]
+            sets = [s for t in b.column("text").to_pylist() if len(s := text_shingles(t, k))]
             yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([parity(s) for s in sets], pa.list_(pa.int64()))], ["set", "shingles", "bits"])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(work, "set binary, shingles array<long>, bits array<long>")

@@ -8,7 +8,9 @@ merges its leftmost non-overlapping occurrences in all segments at once, and com
 Occurrences of one segment are merged together only if none of the pairs that this makes would have come before the
 later occurrences; otherwise only the leftmost is merged, which keeps the order of the library's queue.
 
-A null text counts as empty: begin and end id only. Rows are independent, so ties and repeated rows need no rule.
+A null text counts as empty: begin and end id only. Rows are independent, so ties and repeated rows need no rule. An
+empty table gives no rows. Very long texts are encoded whole; a batch holds one of them at a time, and long segments are
+not remembered. Columns besides the id, the text and those to keep are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from .text import documents, slices
 
 SPACE = "▁"
 NONE = np.int64(1) << 40
-#: Segments whose ids a task remembers.
-REMEMBERED = 400_000
+#: Segments whose ids a task remembers, and their greatest length.
+REMEMBERED, LONGEST = 400_000, 64
 
 
 class Pieces:
@@ -199,7 +201,11 @@ class Encoder:
         new = list(set().union(*cut).difference(self.known))
         self.known.update(zip(new, self.pieces.encode_segments(new)))
         begin, end = (int(i).to_bytes(4, "little") for i in (self.pieces.begin, self.pieces.end))
-        return [begin + b"".join(map(self.known.__getitem__, s)) + end for s in cut]
+        out = [begin + b"".join(map(self.known.__getitem__, s)) + end for s in cut]
+        for segment in new:
+            if len(segment) > LONGEST:
+                del self.known[segment]
+        return out
 
 
 def encoded(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,9 @@ the hosts' rates by moments, and each host's rate is shrunk to (failed + a) / (r
 is above `most_rate` is rejected with all its documents.
 
 Null, empty: no words, so the document fails. Repeated rows count as often as they occur. An empty table gives no rows.
-Without spread between hosts (one host, or equal rates) the prior is as strong as STRONGEST documents.
+Without spread between hosts (one host, or equal rates) the prior is as strong as STRONGEST documents. Very long texts
+are whole: their windows are counted within the row. Columns besides doc_id, text and source are not looked at, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ depend on the order; noise comes from a hash of the id.
 
 Null or empty texts have weight 0. Rows without an id share their noise. Repeated rows get the same key; documents that
 tie with the k-th stay. Labels of one id are put together: good if all are, toxic if any is. Without labelled rows of
-good quality nothing is rejected. An empty table gives no rows.
+good quality nothing is rejected. An empty table gives no rows. A very long text is counted whole; a batch holds one of
+them at a time. Columns besides doc_id and text are not looked at, whatever their names; selected() returns them unchanged.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from .text import documents, labels, slices, written
 BUCKETS, SCALE = 1 << 14, 1 << 20
 MOST_LABELLED, MARGIN, SEED = 50_000, 0.01, 11
 BINS, SORTABLE = 4096, 10_000
+#: How many words a worker remembers, and of how many characters at most.
+REMEMBERED, LONGEST = 500_000, 64
 CUT = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -42,9 +45,11 @@ class Codes(dict):
     """32-bit hashes of words, remembered."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little")
+        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little")
+        if len(word) <= LONGEST:
+            if len(self) > REMEMBERED:
+                self.clear()
+            self[word] = h
         return h
 
 

@@ -24,13 +24,13 @@ looked at, whatever their names.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,18 +42,13 @@ WINDOW, ANCHOR = 13, 5
 SHARD_WORDS = 1 << 19
 HOT = SHARD_WORDS // 16
 #: Text of the parts whose anchors are summed up at once.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 NAMES = "place long, tag long, more long"
 
 
-class Hashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
+def hashes_of(words: Iterable[bytes], n: int) -> np.ndarray:
+    """64-bit hashes of n words. Nothing is remembered, so that no vocabulary grows in a worker."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
 
 
 def anchors(hashes: np.ndarray, ends: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,10 +94,9 @@ def find_anchors(docs: DataFrame, window: int, run: int) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = Hashes()
         for b in slices(batches, "text", PART_BYTES):
             split, ends = batch_words(b.column("text").to_pylist())
-            hashes = np.fromiter(map(hashed.__getitem__, chain.from_iterable(split)), np.uint64, int(ends[-1]))
+            hashes = hashes_of(chain.from_iterable(split), int(ends[-1]))
             starts, sizes, anchor = anchors(hashes, ends, window, run)
             doc = np.searchsorted(ends, starts, side="right")
             begins = ends - [len(w) for w in split]
