@@ -44,7 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it. Texts without words are not taken; rows without a source are a source of
+    """Each document as often as the mix takes it. Texts without words add none and go as their key says; rows without a source are a source of
     their own; rows that repeat count each."""
     mixed = mixing.mixed(docs.select("doc_id", "text", "source", F.struct("*").alias("row"))).filter("mix_copies > 0")
     copies = mixed.select("row", F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int"))))
