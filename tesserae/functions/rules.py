@@ -36,6 +36,15 @@ PURPOSE_CATEGORIES = [
     (("гараж",), "Гараж"),
     (("хозяйствен",), "Хозяйственное"),
 ]
+#: The categories of the exploratory notebooks, which differ from those above.
+EXPLORED_CATEGORIES = [
+    (("жил",), "Жилое"),
+    (("нежил",), "Нежилое"),
+    (("комплекс",), "Комплекс"),
+    (("постройк", "сооруж", "строен"), "Постройка/сооружение"),
+    (("торг", "промышл", "бизнес", "услуг"), "Коммерческое"),
+    (("культур", "образ", "медиц", "спорт"), "Социальное"),
+]
 OTHER, UNKNOWN = "Прочее", "Неизвестно"
 
 #: Upper ends of floor bands.
@@ -139,3 +148,32 @@ def tags(text: Column) -> Column:
     inner = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s*\[|\]\s*$", "")
     quoted = F.regexp_extract_all(inner, F.lit(r"""'([^']*)'|"([^"]*)\"|([^,'"]+)"""), F.lit(0))
     return F.filter(F.transform(quoted, lambda x: F.trim(F.regexp_replace(x, "['\"]", ""))), lambda x: x != "")
+
+
+def explored_tags(text: Column) -> Column:
+    """A list written as text, cut at every comma, as the exploratory notebooks read it; empty for null."""
+    inner = F.btrim(F.trim(F.coalesce(text, F.lit(""))), F.lit("[]"))
+    parts = F.transform(F.split(inner, ","), lambda x: F.btrim(F.trim(x), F.lit("'\"")))
+    return F.filter(parts, lambda x: x != "")
+
+
+def explored_category(tag: Column) -> Column:
+    return first_match(tag, EXPLORED_CATEGORIES, OTHER)
+
+
+def city_part(address: Column) -> Column:
+    """What stands before the first comma."""
+    return F.trim(F.split_part(address, F.lit(","), F.lit(1)))
+
+
+#: Upper ends and codes of floor bands taken from the number itself.
+BAND_CODES = [(4, 2), (5, 3), (9, 4), (16, 5), (25, 6)]
+
+
+def band_code(floors: Column) -> Column:
+    """The code of a floor band from the number of floors, cut to a whole one, where no band is given."""
+    whole = floors.cast("int")
+    out = F.when(floors.isNull(), -1).when(whole == 1, 0).when(whole == 2, 1)
+    for most, code in BAND_CODES:
+        out = out.when(whole <= most, code)
+    return out.otherwise(7)

@@ -14,6 +14,26 @@ from ..functions.address import address_key
 from .dedupe import keep_first_in_turn
 
 
+#: The columns of cleaned tables, in order; those that a table lacks are left out.
+KEPT_A = [
+    "id", "title", "geometry_clean", "area_sq_m", "geom_area_approx_m2", "area_geom_ratio", "tags", "tags_parsed", "primary_tag", "category",
+    "tag_count", "gkh_address", "has_gkh_address", "gkh_floor_count_min", "gkh_floor_count_max", "has_gkh_floors", "floor_range", "floor_mid",
+    "geom_type", "geom_part_count", "geom_complexity", "is_multipolygon", "centroid_lon", "centroid_lat",
+]
+KEPT_B = [
+    "geometry_clean", "geom_type", "geom_part_count", "geom_complexity", "is_multipolygon", "centroid_lon", "centroid_lat", "geom_area_approx_m2",
+    "subject", "district", "type", "locality", "type_street", "name_street", "number", "letter", "fraction", "housing", "building", "addr_full",
+    "has_full_address", "purpose_of_building", "purpose_category", "stairs", "is_stairs_valid", "avg_floor_height", "avg_floor_height_clean",
+    "is_industrial_height", "height", "is_height_valid", "height_from_stairs", "height_consistency_ratio", "heights_inconsistent",
+    "height_source", "height_per_floor", "log_height", "floor_band",
+]
+
+
+def pruned(df: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns that df has, and the row id, by which sources are joined."""
+    return df.select("row_id", *[c for c in names if c in df.columns])
+
+
 @F.pandas_udf(T.StringType())
 def repaired(wkt: pd.Series) -> pd.Series:
     """Geometries whose rings cross are made valid; those without area become null. Only doubtful ones change."""
@@ -63,7 +83,8 @@ def clean_a(raw: DataFrame) -> DataFrame:
     low, high = F.col("gkh_floor_count_min"), F.col("gkh_floor_count_max")
     df = df.withColumns({"has_gkh_floors": R.flag(low.isNotNull() | high.isNotNull()), "floor_range": high - low, "floor_mid": R.middle(low, high), "has_gkh_address": R.flag(F.col("gkh_address").isNotNull())})
     df = with_geometry(df, "geometry")
-    return df.withColumn("area_geom_ratio", F.try_divide("area_sq_m", F.nullif("geom_area_approx_m2", F.lit(0.0))))
+    df = df.withColumn("area_geom_ratio", F.try_divide("area_sq_m", F.nullif("geom_area_approx_m2", F.lit(0.0))))
+    return pruned(df, KEPT_A)
 
 
 def clean_b(raw: DataFrame) -> DataFrame:
@@ -99,4 +120,4 @@ def clean_b(raw: DataFrame) -> DataFrame:
         }
     ).withColumn("has_full_address", R.flag(F.col("addr_full").isNotNull()))
     df = with_geometry(df, "wkt")
-    return df.filter(F.col("geom_area_approx_m2").between(*R.AREA))
+    return pruned(df.filter(F.col("geom_area_approx_m2").between(*R.AREA)), KEPT_B)

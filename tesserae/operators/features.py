@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions import geometry as G
 from ..functions import kernel
 from ..functions import rules as R
+from .ranks import quantiles
 from .spatial import densities, nearest_distance, neighbour_statistics, within_radius
 
 #: The centre that distances are taken to, and the radii of densities.
@@ -51,8 +52,8 @@ def geometric(df: DataFrame) -> DataFrame:
 
 def quantile_zones(df: DataFrame, value: str, parts: int = 5, out: str = "zone") -> DataFrame:
     """The number of the quantile interval (left open, the first closed), from exact linear quantiles; equal edges are one."""
-    edges = df.agg(F.array_distinct(F.percentile(value, F.array(*[F.lit(i / parts) for i in range(parts + 1)])))).first()[0]  # parts + 1 numbers
-    if not edges or edges[0] is None:
+    edges = list(dict.fromkeys(quantiles(df, value, [i / parts for i in range(parts + 1)]) or ()))
+    if not edges:
         return df.withColumn(out, F.lit(None).cast("int"))
     chain: Column = F.when(F.col(value).isNull() | (F.col(value) < edges[0]), F.lit(None).cast("int"))
     for i, e in enumerate(edges[1:]):
@@ -88,7 +89,7 @@ def categorical(df: DataFrame, target: str = TARGET) -> DataFrame:
     return df.withColumns(
         {
             "height_from_stairs": F.col("stairs_clean") * F.col("avg_floor_height"),
-            "floor_band_enc": R.encoded(F.col("floor_band"), R.FLOOR_BAND_CODES),
+            "floor_band_enc": R.encoded(F.col("floor_band"), R.FLOOR_BAND_CODES) if "floor_band" in df.columns else R.band_code(floors),
             "purpose_B_enc": R.encoded(F.col("purpose_category_B_mode"), R.PURPOSE_CODES),
             "category_A_enc": R.encoded(F.col("category_A_mode"), R.CATEGORY_CODES),
             "height_source_enc": R.encoded(F.col("height_source"), R.HEIGHT_SOURCE_CODES, 0),

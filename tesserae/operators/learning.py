@@ -9,6 +9,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import quantiles
+
 #: Thresholds of selection, and weights of rare heights.
 MOST_CORRELATED, MOST_NULL, FLAG_NULL = 0.95, 0.80, 0.05
 RARE, COPIES, NOISE = 50.0, 3, 0.1
@@ -48,8 +50,8 @@ def correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], flo
 def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     if not columns:
         return {}
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns if row[c] is not None}
+    found = {c: quantiles(df, c, [0.5]) for c in columns}
+    return {c: q[0] for c, q in found.items() if q}
 
 
 def null_rates(df: DataFrame, columns: list[str]) -> dict[str, float]:

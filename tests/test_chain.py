@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from tesserae.__main__ import main
 from tesserae.plans import footprints
 from tesserae.sources import files
 
@@ -51,3 +52,16 @@ def test_chain(spark, inputs, tmp_path):
     meta = files.read_metadata(spark, f"{tmp_path}/out/metadata")
     assert "height_from_stairs" not in meta["features"] or meta["holdout_r2"] > 0.3
     assert spark.read.option("header", True).csv(f"{tmp_path}/out/predictions").count() == len(missing)
+
+    # the saved model predicts every row, also of a table that lacks features
+    table = spark.read.parquet(f"{tmp_path}/out/features")
+    everything, quality = footprints.predict(spark, table, f"{tmp_path}/out", f"{tmp_path}/all")
+    by_id = {r.building_id: r.predicted_height_m for r in everything.collect()}
+    assert len(by_id) == len(rows) and all(abs(by_id[r.building_id] - r.predicted_height_m) < 1e-9 for r in got)
+    assert sorted(by_id) == list(range(len(rows)))
+    assert quality.first().mae < 10
+    less = table.drop("kde_50m", meta["features"][0], "height_B_median")
+    everything, quality = footprints.predict(spark, less, f"{tmp_path}/out", f"{tmp_path}/less")
+    assert everything.count() == len(rows) and quality is None
+    main(["predict", f"{tmp_path}/out/features", f"{tmp_path}/out", f"{tmp_path}/again"])
+    assert spark.read.option("header", True).csv(f"{tmp_path}/again").count() == len(rows)
