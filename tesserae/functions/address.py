@@ -150,4 +150,4 @@ def normalised(c: Column) -> Column:
 
 
 def id_list(c: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")

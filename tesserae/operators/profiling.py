@@ -224,9 +224,9 @@ def validity_rate(df: DataFrame, wkt: str, key: str, most: int = 10_000) -> Data
 
 def geometry_profile(df: DataFrame, wkt: str) -> DataFrame:
     """One row: texts, those that can't be read, kinds, parts, areas in square degrees, the centroids' range and how many lie in the city's box."""
-    geom = G.parsed(F.col(wkt))
+    geom = F.col("g")
     x, y = G.centroid(geom)
-    each = df.select(F.col(wkt).alias("w"), geom.alias("g")).select("w", "g", G.kind(geom).alias("kind"), G.area(geom).alias("area"), G.part_count(geom).alias("parts"), x.alias("x"), y.alias("y"))
+    each = df.select(F.col(wkt).alias("w"), G.parsed(F.col(wkt)).alias("g")).select("w", "g", G.kind(geom).alias("kind"), G.area(geom).alias("area"), G.part_count(geom).alias("parts"), x.alias("x"), y.alias("y"))
     inside = F.col("x").between(*R.LONGITUDE) & F.col("y").between(*R.LATITUDE)
     return each.agg(
         F.count("w").alias("n"), F.count_if(F.col("w").isNotNull() & F.col("g").isNull()).alias("n_unread"), F.count_if(F.col("kind") == "Polygon").alias("n_polygon"),
