@@ -7,7 +7,41 @@ import corpus_pipeline
 from tesserae.llm import pieces, resampling
 
 from . import test_line_runs, test_near_dups
-from .brute import words
+from .brute import odd_rows, table, words
+
+CLASHES = ("n_lines", "n_deleted", "copy", "row", "gone_id", "mix_size", "mix_copies", "kept", "key", "place", "tag", "more", "comp", "set")
+
+
+def odd_stages(spark, rows, small):
+    out, docs = [], table(spark, rows, CLASHES)
+    for _, f in corpus_pipeline.STAGES:
+        made = f(spark, docs, small)
+        out.append(made.collect())
+        if len(out) < len(corpus_pipeline.STAGES):
+            assert made.columns == docs.columns and [x.dataType for x in made.schema] == [x.dataType for x in docs.schema]
+            assert all(r[c] == "clash" for r in out[-1] for c in CLASHES)
+        docs = spark.createDataFrame(out[-1], made.schema)
+    return out
+
+
+def test_odd_rows(spark, small):
+    """Nulls, empty and long texts, ties, repeated rows and columns with names that the stages use."""
+    rows = odd_rows(n=30)
+    kept, lines, near, mixed, encoded = odd_stages(spark, rows, small)
+    assert Counter((r.doc_id, r.text) for r in kept) <= Counter((i, t) for i, t, _ in rows)
+    want = test_line_runs.brute([(r.doc_id, r.text, r.source) for r in kept], 3, 30)
+    assert Counter((r.doc_id, r.text) for r in lines) == Counter((i, t) for i, t, n, cut in want if cut == 0 or cut < n)
+    want = test_near_dups.brute([(r.doc_id, r.text, r.source) for r in lines], 5, 80)
+    assert {(r.doc_id, r.text) for r in near} == {(r.doc_id, r.text) for r, (_, _, _, stays) in zip(lines, want) if stays}
+    assert len([r for r in near if r.doc_id is not None]) == len({(r.doc_id, r.text) for r in near if r.doc_id is not None})
+    assert {(r.doc_id, r.text) for r in mixed} <= {(r.doc_id, r.text) for r in near}
+    assert Counter(r.doc_id for r in encoded) == Counter(r.doc_id for r in mixed)
+
+
+def test_empty_table(spark, small):
+    assert odd_stages(spark, [], small) == [[], [], [], [], []]
+    bare = spark.createDataFrame([(1, "a\nb", "x")], "doc_id long, text string, source string")
+    assert corpus_pipeline.line_dedup(spark, bare, small).collect() == [(1, "a\nb", "x")]
 
 
 def test_stages(spark, small):
