@@ -250,13 +250,15 @@ def with_name(docs: DataFrame) -> DataFrame:
 
 def repeated_segments(docs: DataFrame, window: int, run: int) -> DataFrame:
     """Name, start, anchor and words of the segments whose anchor occurs in two documents."""
-    # the counts use every column, so that they and the join read one exchange and the texts are gone through once
+    # the counts and the join use every column and filter nothing beforehand, so that they read one exchange and the texts
+    # are gone through once
     found = find_anchors(docs, window, run).repartition("deal")
-    used = F.max(reduce(Column.bitwiseXOR, [F.col(c).cast("long") for c in (*NAME, "start", "windows", "anchor")]))
-    counted = found.groupBy("deal").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.bool_or("known").alias("sure"), used.alias("used"))
+    used = lambda *columns: F.max(reduce(Column.bitwiseXOR, [F.col(c).cast("long") for c in columns])).alias("used")
+    counted = found.groupBy("deal").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.bool_or("known").alias("sure"), used(*NAME, "start", "windows", "anchor"))
     again = counted.filter("(first < last or sure) and used is not null").select("deal")
-    listed = found.join(again.hint("shuffle_hash"), "deal").filter("windows > 0")
-    listed = written(listed.groupBy(*NAME).agg(F.collect_set(F.struct("start", "windows", "anchor")).alias("segments")), "anchors")
+    segment = F.when(F.col("windows") > 0, F.struct("start", "windows", "anchor"))
+    listed = found.join(again.hint("shuffle_hash"), "deal").groupBy(*NAME).agg(F.collect_set(segment).alias("segments"), used("low", "high", "known"))
+    listed = written(listed.filter("used is not null").select(*NAME, "segments"), "anchors")
     out = written(cut_segments(docs.join(listed, NAME), window), "segments")
     dropped(listed)
     return out
