@@ -189,31 +189,31 @@ def payload_of(text: str | None) -> tuple[int, bytes]:
     return len(raw), raw + bytes(-len(raw) % BLOCK or (0 if raw else BLOCK))
 
 
+def stored_batches(batches: Iterator[pa.RecordBatch], tag: int = MULAW, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "text", most_bytes):
+        made = [payload_of(t) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), pa.array([n for n, _ in made], pa.int64()), pa.array([wav(p, tag) for _, p in made], pa.binary())], ["doc_id", "n_bytes", "media"]
+        )
+
+
 def stored(docs: DataFrame, tag: int = MULAW) -> DataFrame:
     """doc_id, n_bytes and media: each text's bytes as the samples of a WAV file."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(lambda batches: stored_batches(batches, tag), f"doc_id {kind}, n_bytes long, media binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            made = [payload_of(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([n for n, _ in made], pa.int64()), pa.array([wav(p, tag) for _, p in made], pa.binary())], ["doc_id", "n_bytes", "media"]
-            )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, media binary")
+def rendered_batches(batches: Iterator[pa.RecordBatch], into: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "media"):
+        sounds = heard(b.column("media").to_pylist())
+        yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(RENDITIONS[c](sounds), pa.binary()) for c in into]], [*b.schema.names, *into])
 
 
 def rendered(media: DataFrame, into: tuple[str, ...] = ("pcm",)) -> DataFrame:
     """The media's rows with WAV files of the same sound: alaw and adpcm at its rate, pcm with 16 bits at twice the rate."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "media"):
-            sounds = heard(b.column("media").to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(RENDITIONS[c](sounds), pa.binary()) for c in into]], [*b.schema.names, *into])
-
     media = media.drop(*into)
     fields = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in media.schema)
-    return media.mapInArrow(run, fields + ", ".join(f"{c} binary" for c in into))
+    return media.mapInArrow(lambda batches: rendered_batches(batches, into), fields + ", ".join(f"{c} binary" for c in into))
 
 
 def told(pcm: np.ndarray, rate: int) -> str:
@@ -229,36 +229,48 @@ def apart(name: str, sound: np.ndarray, again: np.ndarray) -> str:
     return f"{name}:error={int(off) // max(1, len(sound))},crc={zlib.crc32(again.tobytes())}"
 
 
+def described_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "media", 1 << 20):
+        files = b.column("media").to_pylist()
+        read = [unwav(m) for m in files]
+        read = [r and r[2] for r in read]
+        sound, alaw, adpcm_, pcm = (heard(b.column(c).to_pylist()) for c in ("media", "alaw", "adpcm", "pcm"))
+        features = [
+            ";".join([told(w[1], w[0]), apart("alaw", s[1], a[1]), apart("adpcm", s[1], d[1])]) if s and a and d and w else None
+            for s, a, d, w in zip(sound, alaw, adpcm_, pcm)
+        ]
+        each = lambda f, values: [None if v is None else f(v) for v in values]
+        columns = [
+            pa.array(each(len, read), pa.int64()),
+            pa.array(each(lambda p: hashlib.sha256(p).hexdigest(), read), pa.string()),
+            pa.array(each(lambda p: zlib.crc32(p[-BLOCK:]), read), pa.int64()),
+            pa.array(each(len, files), pa.int64()),
+            pa.array(each(lambda m: hashlib.sha256(m).hexdigest(), files), pa.string()),
+            pa.array(features, pa.string()),
+        ]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_bytes"), *columns], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+
+
+#: Columns of described() beside doc_id.
+DIGESTS = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+
+
 def described(media: DataFrame) -> DataFrame:
     """Digests of the stored bytes as read back, and features of the sound as read back from its renditions."""
+    kind = media.schema["doc_id"].dataType.simpleString()
+    return media.select("doc_id", "n_bytes", "media", *RENDITIONS).mapInArrow(described_batches, f"doc_id {kind}, {DIGESTS}")
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """described(rendered(stored(docs))) with all renditions, in one worker a task: the media, several times as large as the texts, never go through the JVM."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "media", 1 << 20):
-            files = b.column("media").to_pylist()
-            read = [unwav(m) for m in files]
-            read = [r and r[2] for r in read]
-            sound, alaw, adpcm_, pcm = (heard(b.column(c).to_pylist()) for c in ("media", "alaw", "adpcm", "pcm"))
-            features = [
-                ";".join([told(w[1], w[0]), apart("alaw", s[1], a[1]), apart("adpcm", s[1], d[1])]) if s and a and d and w else None
-                for s, a, d, w in zip(sound, alaw, adpcm_, pcm)
-            ]
-            each = lambda f, values: [None if v is None else f(v) for v in values]
-            columns = [
-                pa.array(each(len, read), pa.int64()),
-                pa.array(each(lambda p: hashlib.sha256(p).hexdigest(), read), pa.string()),
-                pa.array(each(lambda p: zlib.crc32(p[-BLOCK:]), read), pa.int64()),
-                pa.array(each(len, files), pa.int64()),
-                pa.array(each(lambda m: hashlib.sha256(m).hexdigest(), files), pa.string()),
-                pa.array(features, pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_bytes"), *columns], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+        return described_batches(rendered_batches(stored_batches(batches, most_bytes=1 << 20), tuple(RENDITIONS)))
 
-    kind = media.schema["doc_id"].dataType.simpleString()
-    return media.select("doc_id", "n_bytes", "media", *RENDITIONS).mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, {DIGESTS}")
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts as mu-law files; A-law, ADPCM and resampled PCM files of the same sound; the features are read from these."""
-    return described(rendered(stored(documents(spark, sf_dir)), tuple(RENDITIONS)))
+    return digests(documents(spark, sf_dir))

@@ -146,6 +146,14 @@ def test_media(spark):
             assert np.array_equal(np.frombuffer(pcm, "<i2")[::2], media.expanded(tag, samples))
 
 
+def test_media_in_one_worker(spark, small):
+    """The query gives what its three steps give one by one, and its media don't go through the JVM between them."""
+    df = media.op5_media(spark, small)
+    steps = media.described(media.rendered(media.stored(spark.read.parquet(f"{small}/documents.parquet")), tuple(media.RENDITIONS)))
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, steps.collect()))
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_bad_media(spark):
     """No sound, no row less: broken files give nulls, also beside good ones, and other columns stay as they are."""
     good = media.wav(b"abc")
