@@ -39,7 +39,7 @@ SHAPE = T.StructType([T.StructField(c, T.DoubleType()) for c in ("bbox_length",
 
 @F.pandas_udf(SHAPE)
 def shape(wkt: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([kernel.shape(w) for w in wkt], columns=["bbox_length", "bbox_width", "bbox_ratio", "bbox_fill_ratio", "convexity"], dtype="float64")
+    return pd.DataFrame(kernel.shapes(wkt), columns=["bbox_length", "bbox_width", "bbox_ratio", "bbox_fill_ratio", "convexity"], dtype="float64")
 
 
 def geometric(df: DataFrame) -> DataFrame:

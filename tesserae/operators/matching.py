@@ -21,7 +21,7 @@ MARGIN, GAP = 0.03, 3.0
 @F.pandas_udf(T.DoubleType())
 def common_area(a: pd.Series, b: pd.Series) -> pd.Series:
     """Area that two geometries (WKT) share. Arrow batches; there is no built-in overlay."""
-    return pd.Series([kernel.intersection_area(kernel.from_wkt(x), kernel.from_wkt(y)) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series(kernel.intersection_areas(kernel.from_wkts(a), kernel.from_wkts(b)), dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -49,7 +49,7 @@ def candidates(a: DataFrame, b: DataFrame, cell: float, overlap: Column | None =
     pairs = boxes_that_meet(a, b, cell)
     left = a.select(F.col("idx").alias("a_idx"), *[F.col(c).alias(f"{c}_a") for c in carry])
     right = b.select(F.col("idx").alias("b_idx"), *[F.col(c).alias(f"{c}_b") for c in carry])
-    joined = pairs.join(left, "a_idx").join(right, "b_idx")
+    joined = pairs.join(left.hint("merge"), "a_idx").join(right.hint("merge"), "b_idx")
     shared = common_area("wkt_a", "wkt_b") if overlap is None else overlap
     dist = F.hypot(F.col("px_a") - F.col("px_b"), F.col("py_a") - F.col("py_b"))
     return joined.select("a_idx", "b_idx", shared.alias("inter_area"), "area_a", "area_b", dist.alias("centroid_dist"))
