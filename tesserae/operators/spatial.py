@@ -1,4 +1,8 @@
-"""Joins by place through a grid: bounding boxes that meet, points within a radius, nearest neighbours."""
+"""Joins by place through a grid: bounding boxes that meet, points within a radius, nearest neighbours.
+
+The joins ask for sorted sides: rows dealt to several cells are many times those that Spark takes them for, and it would
+send them through the driver as a broadcast.
+"""
 
 from __future__ import annotations
 
@@ -30,17 +34,17 @@ def boxes_that_meet(left: DataFrame, right: DataFrame, cell: float) -> DataFrame
     x, y = F.greatest("a_xmin", "b_xmin"), F.greatest("a_ymin", "b_ymin")
     meets = (x <= F.least("a_xmax", "b_xmax")) & (y <= F.least("a_ymax", "b_ymax"))
     here = (F.floor(x / cell) == F.col("cx")) & (F.floor(y / cell) == F.col("cy"))
-    return a.join(b, ["cx", "cy"]).filter(meets & here).drop("cx", "cy")
+    return a.join(b.hint("merge"), ["cx", "cy"]).filter(meets & here).drop("cx", "cy")
 
 
-def within_radius(points: DataFrame, radius: float) -> DataFrame:
-    """idx, other and dist for all pairs of different rows (idx, x, y) up to the radius apart."""
-    cells = points.select("idx", "x", "y", F.floor(F.col("x") / radius).alias("cx"), F.floor(F.col("y") / radius).alias("cy"))
+def within_radius(points: DataFrame, radius: float, *values: str) -> DataFrame:
+    """idx, other, dist and the other's values for all pairs of different rows (idx, x, y) up to the radius apart."""
+    cells = points.select("idx", "x", "y", *values, F.floor(F.col("x") / radius).alias("cx"), F.floor(F.col("y") / radius).alias("cy"))
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    near = cells.select(F.col("idx").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), "cx", "cy", around.alias("d"))
-    near = near.select("other", "ox", "oy", (F.col("cx") + F.col("d.i")).alias("cx"), (F.col("cy") + F.col("d.j")).alias("cy"))
+    near = cells.select(F.col("idx").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), "cx", "cy", *values, around.alias("d"))
+    near = near.select("other", "ox", "oy", *values, (F.col("cx") + F.col("d.i")).alias("cx"), (F.col("cy") + F.col("d.j")).alias("cy"))
     dist = F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy"))
-    return cells.join(near, ["cx", "cy"]).filter("idx != other").withColumn("dist", dist).filter(F.col("dist") <= radius).select("idx", "other", "dist")
+    return cells.drop(*values).join(near.hint("merge"), ["cx", "cy"]).filter("idx != other").withColumn("dist", dist).filter(F.col("dist") <= radius).select("idx", "other", "dist", *values)
 
 
 def nearest_distance(points: DataFrame, start: float, rounds: int = 24) -> DataFrame:
@@ -66,7 +70,7 @@ def nearest_distance(points: DataFrame, start: float, rounds: int = 24) -> DataF
 def densities(pairs: DataFrame, points: DataFrame, radii: list[float]) -> DataFrame:
     """idx and a kde column for each radius: other points within it over the circle's area."""
     counts = pairs.groupBy("idx").agg(*[F.count_if(F.col("dist") <= r).alias(f"n{i}") for i, r in enumerate(radii)])
-    joined = points.select("idx").join(counts, "idx", "left")
+    joined = points.select("idx").join(counts.hint("merge"), "idx", "left")
     return joined.select("idx", *[(F.coalesce(F.col(f"n{i}"), F.lit(0)) / (math.pi * r * r)).alias(f"kde_{r:g}") for i, r in enumerate(radii)])
 
 
