@@ -57,14 +57,14 @@ def nearest_distance(points: DataFrame, start: float, rounds: int = 24) -> DataF
         ask = ask.select("idx", "x", "y", (F.col("gx") + F.col("d.i")).alias("cx"), (F.col("gy") + F.col("d.j")).alias("cy"))
         every = points.select(F.col("idx").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.floor(F.col("x") / radius).alias("cx"), F.floor(F.col("y") / radius).alias("cy"))
         dist = F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy"))
-        found = ask.join(every, ["cx", "cy"]).filter("idx != other").groupBy("idx").agg(F.min(dist).alias("nearest")).filter(F.col("nearest") <= radius)
+        found = ask.join(every.hint("merge"), ["cx", "cy"]).filter("idx != other").groupBy("idx").agg(F.min(dist).alias("nearest")).filter(F.col("nearest") <= radius)
         found = cut(found)
         out = found if out is None else out.unionByName(found)
-        left = cut(left.join(found, "idx", "left_anti"))
+        left = cut(left.join(found.hint("merge"), "idx", "left_anti"))
         if not left.limit(1).count():
             break
         radius *= 2
-    return points.select("idx").join(out, "idx", "left")
+    return points.select("idx").join(out.hint("merge"), "idx", "left")
 
 
 def densities(pairs: DataFrame, points: DataFrame, radii: list[float]) -> DataFrame:
