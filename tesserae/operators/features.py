@@ -66,7 +66,7 @@ def spatial(df: DataFrame, key: str = "building_id", target: str = TARGET) -> Da
     df = df.withColumns({"centroid_x": F.col("repr_centroid_x"), "centroid_y": F.col("repr_centroid_y")})
     df = df.withColumn("dist_to_center", F.hypot(F.col("centroid_x") - CENTRE[0], F.col("centroid_y") - CENTRE[1]))
     points = df.select(F.col(key).alias("idx"), F.col("centroid_x").alias("x"), F.col("centroid_y").alias("y"), F.col(target).alias("v")).filter("x is not null")
-    pairs = within_radius(points, max(RADII)).persist()
+    pairs = within_radius(points, max(RADII), "v").persist()
     near = nearest_distance(points, max(RADII)).withColumnRenamed("nearest", "nearest_neighbor_dist")
     stats = neighbour_statistics(pairs, points, "v", 100.0)
     stats = stats.select("idx", *[F.col(c).alias(n) for c, n in (("mean_value", "mean_height_100m"), ("median_value", "median_height_100m"), ("p75_value", "p75_height_100m"), ("std_value", "std_height_100m"), ("range_value", "height_range_100m"), ("n_neighbours", "count_nbrs_100m"))])

@@ -75,11 +75,15 @@ def densities(pairs: DataFrame, points: DataFrame, radii: list[float]) -> DataFr
 
 
 def neighbour_statistics(pairs: DataFrame, points: DataFrame, value: str, radius: float) -> DataFrame:
-    """idx with mean, median, p75 (with four values or more), deviation and range of the neighbours' values, and their count."""
-    values = points.select(F.col("idx").alias("other"), F.col(value).alias("v"))
-    near = pairs.filter(F.col("dist") <= radius).join(values, "other").groupBy("idx")
-    stats = near.agg(
-        F.avg("v").alias("mean_value"), F.median("v").alias("median_value"), F.when(F.count("v") >= 4, F.percentile("v", 0.75)).alias("p75_value"),
-        F.stddev_pop("v").alias("std_value"), (F.max("v") - F.min("v")).alias("range_value"), F.count("*").alias("n_neighbours"),
+    """idx with mean, median, p75 (with four values or more), deviation and range of the neighbours' values, and their count.
+
+    pairs carry the value of the other row.
+    """
+    v = F.col(value)
+    stats = pairs.filter(F.col("dist") <= radius).groupBy("idx").agg(
+        F.avg(v).alias("mean_value"), F.percentile(v, F.array(F.lit(0.5), F.lit(0.75))).alias("q"), F.count(v).alias("n_values"),
+        F.stddev_pop(v).alias("std_value"), (F.max(v) - F.min(v)).alias("range_value"), F.count("*").alias("n_neighbours"),
     )
-    return points.select("idx").join(stats, "idx", "left").withColumn("n_neighbours", F.coalesce("n_neighbours", F.lit(0)))
+    p75 = F.when(F.col("n_values") >= 4, F.get("q", F.lit(1)))
+    stats = stats.select("idx", "mean_value", F.get("q", F.lit(0)).alias("median_value"), p75.alias("p75_value"), "std_value", "range_value", "n_neighbours")
+    return points.select("idx").join(stats.hint("merge"), "idx", "left").withColumn("n_neighbours", F.coalesce("n_neighbours", F.lit(0)))

@@ -377,7 +377,7 @@ FROM c LEFT JOIN n ON c.idx = n.idx AND dist <= 20 GROUP BY c.idx"""
 )
 def neighbour_stats(table):
     points = centres(table)
-    out = spatial.neighbour_statistics(spatial.within_radius(points, 20.0), points, "v", 20.0)
+    out = spatial.neighbour_statistics(spatial.within_radius(points, 20.0, "v"), points, "v", 20.0)
     return rounded(rounded(out, "mean_value", "median_value", "p75_value", "range_value"), "std_value", digits=5)
 
 
