@@ -11,6 +11,7 @@ from ..functions import geometry as G
 from ..functions import kernel
 from ..functions import rules as R
 from ..functions.address import address_key
+from ..session import once
 from .dedupe import keep_first_in_turn
 
 
@@ -37,23 +38,22 @@ def pruned(df: DataFrame, names: list[str]) -> DataFrame:
 @F.pandas_udf(T.StringType())
 def repaired(wkt: pd.Series) -> pd.Series:
     """Geometries whose rings cross are made valid; those without area become null. Only doubtful ones change."""
-    def fix(w):
-        g = kernel.from_wkt(w)
-        if g is None:
-            return None
-        if kernel.is_simple(g):
-            return w
+    read = kernel.from_wkts(wkt)
+
+    def fix(w, g, simple):
+        if g is None or simple:
+            return None if g is None else w
         g = kernel.repaired(g)
         return kernel.to_wkt(g) if g else None
 
-    return pd.Series([fix(w) for w in wkt], dtype="object")
+    return pd.Series([fix(*x) for x in zip(wkt, read, kernel.are_simple(read))], dtype="object")
 
 
 def with_geometry(df: DataFrame, wkt: str) -> DataFrame:
     """Rows with a valid geometry in the city's box, with geometry_clean and its measures in degrees."""
-    df = df.withColumn("geometry_clean", repaired(F.col(wkt))).withColumn("geom", G.parsed(F.col("geometry_clean"))).filter("geom is not null")
+    df = once(df.withColumn("geometry_clean", repaired(F.col(wkt))), geom=G.parsed(F.col("geometry_clean"))).filter("geom is not null")
     lon, lat = G.centroid(F.col("geom"))
-    df = df.withColumns({"centroid_lon": F.round(lon, 6), "centroid_lat": F.round(lat, 6)})
+    df = once(df, centroid_lon=F.round(lon, 6), centroid_lat=F.round(lat, 6))
     df = df.filter(F.col("centroid_lon").between(*R.LONGITUDE) & F.col("centroid_lat").between(*R.LATITUDE))
     geom = F.col("geom")
     return df.withColumns(

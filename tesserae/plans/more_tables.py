@@ -10,6 +10,7 @@ from ..functions import geometry as G
 from ..functions import rules as R
 from ..operators import cleaning, features, learning, matching, profiling, spatial
 from ..operators.ranks import sequential
+from ..session import spread
 from .tables import PAIRS, RECTANGLES, query, rectangles, rounded
 
 
@@ -156,7 +157,7 @@ def city_box(table):
     """Null geometries and those outside the city's box go; areas in square degrees become metres."""
     lon, lat, half = F.expr(LON), F.expr(LAT), F.expr("(1 + p_size) / 40000.0")
     wkt = F.when(F.col("p_partkey") % 11 > 0, G.written(G.rectangle(*[c.cast("double") for c in (lon - half, lat - half, lon + half, lat + half)])))
-    df = cleaning.with_geometry(table("part").select(F.col("p_partkey").alias("key"), wkt.alias("wkt")), "wkt")
+    df = cleaning.with_geometry(spread(table("part").select("p_partkey", "p_size")).select(F.col("p_partkey").alias("key"), wkt.alias("wkt")), "wkt")
     return df.select("key", "geom_type", "geom_complexity", F.round("centroid_lon", 4).alias("lon"), F.round("centroid_lat", 4).alias("lat"), F.col("geom_area_approx_m2").between(*R.AREA).alias("fits"))
 
 

@@ -1,6 +1,7 @@
 """Sessions with the settings that the engine expects, and the folder that all machines share."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def session(name: str = "tesserae", **conf: str) -> SparkSession:
@@ -22,6 +23,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least two tasks a core, for columns that take long: a file of few bytes is one task otherwise, however long its rows take."""
+    n = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once a row. Spark copies other ones into every filter and column that reads them."""
+    for name, c in columns.items():
+        df = df.select("*", F.explode_outer(F.array(c)).alias(name))
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
