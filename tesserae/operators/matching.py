@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +33,8 @@ def gap(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StringType())
 def united(parts: pd.Series) -> pd.Series:
     """The union of each row's list of WKT."""
-    out = [kernel.union([kernel.from_wkt(w) for w in ws]) for ws in parts]
+    read = iter(kernel.from_wkts(w for ws in parts for w in ws))
+    out = kernel.unions([list(islice(read, len(ws))) for ws in parts])
     return pd.Series([kernel.to_wkt(g) if g else None for g in out], dtype="object")
 
 

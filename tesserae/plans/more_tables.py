@@ -188,7 +188,7 @@ def united_area(table):
     df = rectangles(table).withColumn("wkt", G.written(G.rectangle(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])))
     a, b = (df.filter(f"side = {s}").select(F.col("idx").alias(f"{c}_idx"), F.col("wkt").alias(f"{c}_wkt")) for s, c in ((0, "a"), (1, "b")))
     pairs = spatial.boxes_that_meet(df.filter("side = 0"), df.filter("side = 1"), 32.0).select("a_idx", "b_idx")
-    both = pairs.join(a, "a_idx").join(b, "b_idx").withColumn("u", matching.united(F.array("a_wkt", "b_wkt")))
+    both = pairs.join(a.hint("merge"), "a_idx").join(b.hint("merge"), "b_idx").withColumn("u", matching.united(F.array("a_wkt", "b_wkt")))
     return rounded(both.select("a_idx", "b_idx", G.area(G.parsed(F.col("u"))).alias("whole")), "whole", digits=4)
 
 
