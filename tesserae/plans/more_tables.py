@@ -176,7 +176,7 @@ def turned_overlay(table):
     """Squares on their corners: what two have in common, their union, and the smallest rectangle around one."""
     k, h = F.col("p_partkey"), 4 + F.col("p_size") % 5
     a, b = diamond(F.lit(100) + F.lit(0), F.lit(100) + F.lit(0), h), diamond(100 + k % 9, 100 + (k * 3) % 7, h)
-    df = table("part").select("p_partkey", a.alias("a"), b.alias("b"))
+    df = spread(table("part").select("p_partkey", "p_size")).select("p_partkey", a.alias("a"), b.alias("b"))
     df = df.withColumns({"common": matching.common_area("a", "b"), "u": matching.united(F.array("a", "b")), "s": features.shape("a")})
     out = df.select("p_partkey", "common", G.area(G.parsed(F.col("u"))).alias("whole"), F.col("s.bbox_length").alias("length"), F.col("s.bbox_width").alias("width"), F.col("s.convexity").alias("convexity"))
     return rounded(out, "common", "whole", "length", "width", "convexity")
