@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .forest import Forest
 from .ranks import quantiles
 
 #: Thresholds of selection, and weights of rare heights.
@@ -106,7 +106,7 @@ def weight(target: Column) -> Column:
 
 def forest(columns: list[str], trees: int = 400, depth: int = 30, seed: int = 42) -> Pipeline:
     """The deepest trees that Spark allows stand for unlimited ones; there is no out-of-bag score, so hold rows out."""
-    rf = RandomForestRegressor(featuresCol="features", labelCol="log_target", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=seed)
+    rf = Forest(featuresCol="features", labelCol="log_target", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=5, seed=seed)
     return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error"), rf])
 
 
