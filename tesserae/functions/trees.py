@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-#: Values kept of a feature with more, to find its bins; distinct rows to a chunk; bytes of counts to a task; cells whose prediction a task keeps.
-SUMMARY, CHUNK, COUNTS, KNOWN = 4096, 1 << 18, 1 << 27, 1 << 20
+#: Values kept of a feature with more, to find its bins; distinct rows to a chunk; bytes of counts to a task; cells whose prediction a task
+#: keeps; rows that it reads before it goes through the trees.
+SUMMARY, CHUNK, COUNTS, KNOWN, AHEAD = 4096, 1 << 18, 1 << 27, 1 << 20, 1 << 17
 
 #: Gains below this share of the greatest label's square, for each unit of weight, are rounding.
 NO_GAIN = 1e-24
@@ -188,7 +189,7 @@ def value(tree: Tree, bins: np.ndarray) -> np.ndarray:
 
 
 def predictor(cuts: list[np.ndarray], groups: list, trees: int):
-    """The mean of all trees. A task keeps what it has predicted for cells, where their bins make a number."""
+    """The mean of all trees. A task goes through them for many rows at once, and keeps what it has predicted for cells, where their bins make a number."""
     width = len(cuts)
     sizes = [len(c) + 1 for c in cuts]
     steps = np.array([math.prod(sizes[:f]) for f in range(width)], np.int64) if math.prod(sizes) < 1 << 62 else None
@@ -203,19 +204,31 @@ def predictor(cuts: list[np.ndarray], groups: list, trees: int):
     @F.arrow_udf("double")
     def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known, values = np.empty(0, np.int64), np.empty(0)
-        for column in columns:
-            bins = binned(numbers(column, width), cuts)
+
+        def guesses(held: list[np.ndarray]) -> Iterator[pa.Array]:
+            nonlocal known, values
+            bins = np.concatenate(held)
             if steps is None:
-                yield pa.array(means(bins))
-                continue
-            code, first, back = np.unique(bins.astype(np.int64) @ steps, return_index=True, return_inverse=True)
-            if len(known) > KNOWN:
-                known, values = known[:0], values[:0]
-            new = ~np.isin(code, known, assume_unique=True)
-            if new.any():
-                known, values = np.append(known, code[new]), np.append(values, means(bins[first[new]]))
-                order = np.argsort(known)
-                known, values = known[order], values[order]
-            yield pa.array(values[np.searchsorted(known, code)][back])
+                out = means(bins)
+            else:
+                code, first, back = np.unique(bins.astype(np.int64) @ steps, return_index=True, return_inverse=True)
+                if len(known) > KNOWN:
+                    known, values = known[:0], values[:0]
+                new = ~np.isin(code, known, assume_unique=True)
+                if new.any():
+                    known, values = np.append(known, code[new]), np.append(values, means(bins[first[new]]))
+                    order = np.argsort(known)
+                    known, values = known[order], values[order]
+                out = values[np.searchsorted(known, code)][back]
+            return map(pa.array, np.split(out, np.cumsum([len(h) for h in held])[:-1]))
+
+        held = []
+        for column in columns:
+            held.append(binned(numbers(column, width), cuts))
+            if sum(map(len, held)) >= AHEAD:
+                yield from guesses(held)
+                held = []
+        if held:
+            yield from guesses(held)
 
     return predict

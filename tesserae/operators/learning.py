@@ -8,6 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .forest import Forest
 from .ranks import quantiles
 
@@ -116,7 +117,7 @@ def fit(df: DataFrame, key: str, target: str, columns: list[str], **options) ->
 
 
 def predicted(model: PipelineModel, df: DataFrame, out: str) -> DataFrame:
-    return model.transform(df).withColumn(out, F.greatest(F.expm1("prediction"), F.lit(0.0))).drop("features", "prediction")
+    return model.transform(spread(df)).withColumn(out, F.greatest(F.expm1("prediction"), F.lit(0.0))).drop("features", "prediction")
 
 
 def importances(model: PipelineModel, columns: list[str], df: DataFrame, most: int = 20) -> DataFrame:
