@@ -26,8 +26,10 @@ from .text import documents, slices
 
 SPACE = "▁"
 NONE = np.int64(1) << 40
-#: Segments whose ids a task remembers, and their greatest length.
-REMEMBERED, LONGEST = 400_000, 64
+#: Segments whose ids a task remembers, and their greatest length. A segment takes some 250 bytes.
+REMEMBERED, LONGEST = 100_000, 64
+#: Bytes of text encoded in one go: lists and arrays take many times as much.
+PART = 256 << 10
 
 
 class Pieces:
@@ -214,7 +216,7 @@ def encoded(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(pieces)
-        for b in slices(batches, "_text"):
+        for b in slices(batches, "_text", PART):
             raw = encoder([t or "" for t in b.column("_text").to_pylist()])
             ids = [np.frombuffer(r, "<u4").astype(np.int32) for r in raw]
             decoded = [pieces.decode(i).decode("utf-8", "replace") for i in ids]
@@ -230,7 +232,7 @@ def digests(docs: DataFrame, pieces: Pieces) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(pieces)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", PART):
             raw = encoder([t or "" for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [

@@ -37,7 +37,9 @@ BUCKETS, SCALE = 1 << 14, 1 << 20
 MOST_LABELLED, MARGIN, SEED = 50_000, 0.01, 11
 BINS, SORTABLE = 4096, 10_000
 #: How many words a worker remembers, and of how many characters at most.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 100_000, 64
+#: Bytes of text whose features are counted in one go: lists and arrays take many times as much.
+PART = 256 << 10
 CUT = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -98,7 +100,7 @@ def fitted(docs: DataFrame, labelled: DataFrame, most: int = MOST_LABELLED, marg
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, raw, target = Codes(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", PART):
             bucket, owner = features(b.column("text").to_pylist(), codes)
             mine = b.column("target").to_numpy(zero_copy_only=False).astype(bool)
             raw += np.bincount(bucket, minlength=BUCKETS)
@@ -121,7 +123,7 @@ def scored(docs: DataFrame, model: Model, seed: int = SEED) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", PART):
             weight = model.weights(b.column("text").to_pylist(), codes)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(weight), pa.array(weight + noise(b.column("doc_id").to_pylist(), seed))], ["doc_id", "log_weight", "key"])
 
@@ -166,7 +168,7 @@ def selected(docs: DataFrame, labelled: DataFrame, seed: int = SEED, **options)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", PART):
             key = model.weights(b.column("text").to_pylist(), codes) + noise(b.column("doc_id").to_pylist(), seed)
             yield b.filter(pa.array(key >= least))
 
