@@ -34,7 +34,7 @@ def peak_mb(run, column):
 
 
 def test_encoding(work):
-    assert peak_mb(pieces.encoded(work, pieces.Pieces(pieces.default_model()), keep=["source"]), "_text") < 60
+    assert peak_mb(pieces.encoded(work, pieces.Pieces(pieces.default_model()), keep=["source"]), "_text") < 25
 
 
 def test_quality(work):
