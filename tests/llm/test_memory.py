@@ -39,4 +39,4 @@ def test_encoding(work):
 
 def test_quality(work):
     model = resampling.Model(np.zeros(resampling.BUCKETS, np.int64), 1.0)
-    assert peak_mb(resampling.scored(work, model), "text") < 60
+    assert peak_mb(resampling.scored(work, model), "text") < 25
